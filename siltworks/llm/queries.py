@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import leak, pairs, repetition
+from siltworks.llm import abuse, langid, leak, pairs, repetition
 from siltworks.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,30 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
     return repetition.repetition_shares(spread(r), "response_id", ("response", "reasoning")).select("response_id", "field", F.round("share", 4).alias("share"))
 
 
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    """(prompt_id, language): the languages of the prompts that are mixed, unlabelled or labelled wrongly."""
+    c = _table(spark, sf, "clustered_prompts").select("prompt_id", "prompt", "language")
+    return langid.mislabelled(spread(c), "prompt_id", "prompt", "language", least_confidence=0.7)
+
+
+def p6_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Each stretch of one language of each prompt with its confidence."""
+    c = _table(spark, sf, "clustered_prompts").select("prompt_id", "prompt", "language")
+    return langid.segment_languages(spread(c), "prompt_id", "prompt", "language").select("prompt_id", "start", "length", "language", F.round("confidence", 3).alias("confidence"))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id): the documents with abusive, hateful or sexually explicit language."""
+    d = _table(spark, sf, "documents").select("doc_id", "text")
+    return abuse.abusive(spread(d), "doc_id", "text")
+
+
+def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """The share of such documents by source."""
+    d = _table(spark, sf, "documents").select("doc_id", "text", "source")
+    return abuse.rates(spread(d), "doc_id", "text", "source").withColumn("rate", F.round("rate", 6))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
