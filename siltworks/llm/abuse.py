@@ -171,7 +171,8 @@ def _analyse(texts: Sequence[str]) -> Sentences | None:
     # A dot between single letters is no end.
     single = w.end - w.start == 1
     close = np.concatenate(([False], w.start[1:] - w.end[:-1] <= 4))
-    new &= ~(close & single & np.concatenate(([False], single[:-1])) & (w.cls[w.start] == 1)) | np.concatenate(([True], w.doc[1:] != w.doc[:-1]))
+    small = w.end - w.start <= 2
+    new &= ~(close & small & np.concatenate(([False], single[:-1])) & (w.cls[w.start] == 1)) | np.concatenate(([True], w.doc[1:] != w.doc[:-1]))
     new |= np.concatenate(([False], w.h[:-1] == _hash("lol")))
     first = np.flatnonzero(new)
     n = len(first)
@@ -226,7 +227,7 @@ def _analyse(texts: Sequence[str]) -> Sentences | None:
     odd = (letter & nxt(digit | sign)) | ((digit | sign) & nxt(letter))
     odd[:-2] |= letter[:-2] & (codes[:-2] == codes[1:-1]) & (codes[:-2] == codes[2:])
     row = np.zeros(total, bool)
-    row[:-2] = single[:-2] & single[1:-1] & single[2:] & close[1:-1] & close[2:] & letter[w.start[:-2]]
+    row[:-2] = single[:-2] & single[1:-1] & small[2:] & close[1:-1] & close[2:] & letter[w.start[:-2]]
     start = w.start[first]
     stop = np.append(start[1:], len(codes))
     odd_sum = np.concatenate(([0], np.cumsum(odd)))

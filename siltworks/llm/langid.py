@@ -151,15 +151,19 @@ def fit(texts: Sequence[str], labels: Sequence[str], *, landmarks: int = 700, ri
     each = max(4, landmarks // (2 * len(names)))
     marks = np.unique(np.concatenate([rng.permutation(np.flatnonzero(y == k))[:each] for k in range(len(names))] + [rng.permutation(np.flatnonzero(y >= 0))[: landmarks // 2]]))
     m = _dense([texts[i] for i in marks])
+    by_gram = np.ascontiguousarray(m.T)
     values, vectors = np.linalg.eigh((m @ m.T).astype(np.float64))
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
     share = np.bincount(y[y >= 0], minlength=len(names))
     a, b = np.zeros((root.shape[1],) * 2), np.zeros((root.shape[1], len(names)))
     known = np.flatnonzero(y >= 0)
-    for lo in range(0, len(known), 256):
-        rows = known[lo : lo + 256]
-        z = (_dense([texts[i] for i in rows]) @ m.T).astype(np.float64) @ root
+    for lo in range(0, len(known), 64):
+        rows = known[lo : lo + 64]
+        seg, gram = spectrum([texts[i] for i in rows])
+        at = np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
+        rows = rows[seg[at]]
+        z = (np.add.reduceat(by_gram[gram], at) / np.sqrt(np.diff(np.append(at, len(seg))))[:, None]).astype(np.float64) @ root
         w = 1 / np.sqrt(share[y[rows]])
         a += (z * w[:, None]).T @ z
         b += (z * w[:, None]).T @ np.eye(len(names))[y[rows]]
@@ -167,14 +171,23 @@ def fit(texts: Sequence[str], labels: Sequence[str], *, landmarks: int = 700, ri
     return Model(names, (m.T.astype(np.float64) @ (root @ ridge_w)).astype(np.float32))
 
 
-def fit_from_rows(texts: Sequence[str], labels: Sequence[str], seed: int = 42) -> Model:
+def fit_from_rows(texts: Sequence[str], labels: Sequence[str], seed: int = 42, fit_segments: int = 9000) -> Model:
     """A model from labelled texts of which some labels are wrong: the second fit keeps the segments that the first one
-    gives their text's label."""
+    gives their text's label. Of more than ``fit_segments`` segments, a random part of each language's is used, the rarer
+    languages' being larger."""
     seg, lab = [], []
     for t, l in zip(texts, labels, strict=True):
         for _, s in segments(t):
             seg.append(s)
             lab.append(l)
+    if len(seg) > fit_segments:
+        rng, kinds = np.random.default_rng(seed), np.array(lab)
+        each = fit_segments // max(1, len(set(lab)))
+        part = [rng.permutation(np.flatnonzero(kinds == l)) for l in sorted(set(lab))]
+        spare = fit_segments - sum(min(len(x), each) for x in part)
+        longest = max(range(len(part)), key=lambda k: len(part[k]))
+        take = np.concatenate([x[: each + (spare if k == longest else 0)] for k, x in enumerate(part)])
+        seg, lab = [seg[i] for i in take], [lab[i] for i in take]
     first = fit(seg, lab, seed=seed)
     if not first.languages:
         return first

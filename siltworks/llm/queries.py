@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import abuse, langid, leak, pairs, repetition
+from siltworks.llm import abuse, clusters, langid, leak, pairs, repetition
 from siltworks.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,10 +55,24 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
     return repetition.repetition_shares(spread(r), "response_id", ("response", "reasoning")).select("response_id", "field", F.round("share", 4).alias("share"))
 
 
+def _clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return clusters.similarity_clusters(_table(spark, sf, "clustered_prompts").select("prompt_id", "prompt"), "prompt_id", "prompt")
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """(prompt_id_a, prompt_id_b): the pairs of prompts of one group."""
+    return clusters.cluster_pairs(_clusters(spark, sf), "prompt_id")
+
+
+def p5_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Each group with its size and its most typical prompts."""
+    return clusters.cluster_summary(_clusters(spark, sf), "prompt_id")
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """(prompt_id, language): the languages of the prompts that are mixed, unlabelled or labelled wrongly."""
     c = _table(spark, sf, "clustered_prompts").select("prompt_id", "prompt", "language")
-    return langid.mislabelled(spread(c), "prompt_id", "prompt", "language", least_confidence=0.7)
+    return langid.mislabelled(spread(c), "prompt_id", "prompt", "language", least_confidence=0.6)
 
 
 def p6_segments(spark: SparkSession, sf: str) -> DataFrame:
