@@ -78,3 +78,26 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() * 2 > cores else df.repartition(cores)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the session's Python workers, once, so that they find it wherever the driver was started."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="siltworks-code-"), "siltworks.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("siltworks", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
