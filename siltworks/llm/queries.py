@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import abuse, clusters, langid, leak, pairs, repetition
+from siltworks.llm import abuse, clusters, langid, leak, mixing, packing, pairs, quota, repetition, reservoir, tokens
 from siltworks.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,25 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: Size of the sample of problem 1.
+SAMPLE_ROWS = 10_000
+_CELL = ("domain", "difficulty")
+
+
+def p1_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """(prompt_id): a fixed number of distinct prompts, each with the same chance."""
+    p = _table(spark, sf, "prompts").select("prompt_id", "rec_no", "shard")
+    return reservoir.reservoir_sample(p, "prompt_id", "rec_no", "shard", k=SAMPLE_ROWS)
+
+
+def p1_by_shard(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each shard: the prompts that first came with it and those in the sample."""
+    p = _table(spark, sf, "prompts").select("prompt_id", "rec_no", "shard")
+    first = p.where("prompt_id is not null").groupBy("prompt_id").agg(F.min_by("shard", "rec_no").alias("shard"))
+    sample = reservoir.reservoir_sample(p, "prompt_id", "rec_no", "shard", k=SAMPLE_ROWS).withColumn("taken", F.lit(1))
+    return first.join(sample, "prompt_id", "left").groupBy("shard").agg(F.count("*").alias("n_prompts"), F.sum(F.coalesce("taken", F.lit(0))).alias("n_sampled"))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """(response_id, defect): the defective responses."""
     r = _table(spark, sf, "responses").select("response_id", "prompt", "response", "reasoning", "answer")
@@ -31,6 +50,25 @@ def p2_by_teacher(spark: SparkSession, sf: str) -> DataFrame:
     return model.join(d, "response_id", "left").groupBy("teacher_model", F.coalesce("defect", F.lit("none")).alias("defect")).agg(F.count("*").alias("n_responses"))
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    """(domain, difficulty): the cells of the targets that cannot be met."""
+    c = _table(spark, sf, "clustered_prompts").select("prompt_id", *_CELL)
+    _, report = quota.quota_sample(c, "prompt_id", _CELL, _table(spark, sf, "quota_targets"))
+    return report.where("exhausted").select(*_CELL)
+
+
+def p3_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """(prompt_id, domain, difficulty): a quarter of the prompts in the target shares."""
+    c = _table(spark, sf, "clustered_prompts").select("prompt_id", *_CELL)
+    return quota.quota_sample(c, "prompt_id", _CELL, _table(spark, sf, "quota_targets"))[0]
+
+
+def p3_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The targets with what is there, what was taken and the share reached."""
+    c = _table(spark, sf, "clustered_prompts").select("prompt_id", *_CELL)
+    return quota.quota_sample(c, "prompt_id", _CELL, _table(spark, sf, "quota_targets"))[1]
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """(prompt_id, item_id): the prompts that contain a test item and the item."""
     p = _table(spark, sf, "prompts").select("prompt_id", "prompt")
@@ -81,6 +119,36 @@ def p6_segments(spark: SparkSession, sf: str) -> DataFrame:
     return langid.segment_languages(spread(c), "prompt_id", "prompt", "language").select("prompt_id", "start", "length", "language", F.round("confidence", 3).alias("confidence"))
 
 
+def _packed(spark: SparkSession, sf: str) -> DataFrame:
+    d = spread(_table(spark, sf, "documents").select("doc_id", "text"))
+    return packing.pack_containers(d.select("doc_id", tokens.token_count(F.col("text")).alias("size")), "doc_id", "size", _table(spark, sf, "pack_plan"), "plan_name", "capacity")
+
+
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    """(plan_name, doc_id, piece, container, tokens): the container of every document, or piece of one, in each plan."""
+    return _packed(spark, sf)
+
+
+def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each plan the containers and how full they are."""
+    return packing.fill_rates(_packed(spark, sf), _table(spark, sf, "pack_plan"), "plan_name", "capacity").withColumn("fill", F.round("fill", 6))
+
+
+def _mixed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    d = spread(_table(spark, sf, "documents").select("doc_id", "text", "source"))
+    return mixing.mix(d, "doc_id", "text", "source", _table(spark, sf, "mix_targets"))
+
+
+def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, source, tokens, copies): the documents of the mixture and how often each is used."""
+    return _mixed(spark, sf)[0]
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each source the target share and the share really reached."""
+    return _mixed(spark, sf)[1].withColumn("share", F.round("share", 6))
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id): the documents with abusive, hateful or sexually explicit language."""
     d = _table(spark, sf, "documents").select("doc_id", "text")
