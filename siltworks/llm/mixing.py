@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm import textvec, tokens
+from siltworks.llm.sampling import lowest_hash_rows
 from siltworks.session import stored
 
 _PLACES = 1 << 16
@@ -123,7 +124,7 @@ def mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, targets: D
     k = len(names)
     unlabelled = rows.where("source is null")
     labelled = rows.where(F.col("source").isNotNull())
-    sample = labelled.select(F.xxhash64("id", F.lit(seed)).alias("r"), "text", "source").orderBy("r").limit(fit_rows).toPandas() if not unlabelled.isEmpty() else pd.DataFrame({"text": [], "source": []})
+    sample = lowest_hash_rows(labelled, ["id"], ["text", "source"], fit_rows, seed) if not unlabelled.isEmpty() else pd.DataFrame({"text": [], "source": []})
     model = fit_sources(sample["text"].tolist(), sample["source"].tolist())
     column = np.array([names.index(s) if s in names else -1 for s in model.sources], int)
     id_type = rows.schema["id"].dataType.simpleString()
