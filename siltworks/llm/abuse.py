@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm import textvec
+from siltworks.llm.sampling import lowest_hash_rows
 
 # The lexicons, phrases of one to four words separated by commas, in the languages of the project.
 INSULTS = """moron, morons, idiot, idiots, imbecile, imbeciles, cretin, cretins, scumbag, scumbags, asshole, assholes, bastard, bastards, bitch,
@@ -369,7 +370,7 @@ def fit(texts: Sequence[str], seed: int = 42) -> tuple[LabelModel, Classifier]:
 def abuse_scores(docs: DataFrame, id_col: str, text_col: str, *, fit_rows: int = 2500, seed: int = 42) -> DataFrame:
     """(id, score): near 1 for texts with abusive, hateful or sexually explicit language."""
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    sample = rows.select(F.xxhash64("id", F.lit(seed)).alias("r"), "text").orderBy("r").limit(fit_rows).toPandas()
+    sample = lowest_hash_rows(rows, ["id"], ["text"], fit_rows, seed)
     _, classifier = fit(sample["text"].tolist(), seed)
     id_type = rows.schema["id"].dataType.simpleString()
     sent = rows.sparkSession.sparkContext.broadcast(classifier)
