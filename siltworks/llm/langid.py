@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm import textvec
+from siltworks.llm.sampling import lowest_hash_rows
 
 DIMS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -208,7 +209,7 @@ def segment_languages(df: DataFrame, id_col: str, text_col: str, label_col: str,
     its confidence is their mean, weighted by length.
     """
     rows = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label"))
-    sample = rows.where(F.col("label").isNotNull()).withColumn("r", F.xxhash64("id", "text", F.lit(seed))).orderBy("r").limit(fit_rows).toPandas()
+    sample = lowest_hash_rows(rows.where(F.col("label").isNotNull()), ["id", "text"], ["text", "label"], fit_rows, seed)
     sample["code"] = sample["label"].map(language_code)
     sample = sample[sample["code"].notna()]
     model = fit_from_rows(sample["text"].tolist(), sample["code"].tolist(), seed)
