@@ -1,11 +1,658 @@
-"""Registered queries of the engine's own operators and their SQL."""
+"""Registered queries of the engine's own operators, each with the SQL that gives the same result where SQL can."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from siltworks.functions import labels, scores, text
+from siltworks.operators import decontam, filters, parse, relations, sampling, stats, vectors
+from siltworks.sources import files
 
-def oracle_sql() -> dict:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+#: Words of the project's own vocabulary as keywords, since its texts are invented.
+POOL_KEYWORDS = {"math": ["fraction", "sequence", "root"], "code": ["cache", "thread", "parser"], "science": ["reactor", "membrane", "lens"], "language": ["pronoun", "suffix", "verb"]}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[name] = f
+        if sql:
+            _SQL[name] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+# SQL fragments that several statements share.
+_WORDS = r"list_filter(regexp_split_to_array(coalesce({c}, ''), '[\s\pZ]+'), lambda w: w <> '')"
+_STRIP = r"regexp_replace({c}, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')"
+_MATCH = r"list_filter(string_split(regexp_replace(lower(coalesce({c}, '')), '[^\pL\pN]+', ' ', 'g'), ' '), lambda w: w <> '')"
+
+
+def _words(c: str) -> str:
+    return _WORDS.replace("{c}", c)
+
+
+def _strip(c: str) -> str:
+    return _STRIP.replace("{c}", c)
+
+
+def _match(c: str) -> str:
+    return _MATCH.replace("{c}", c)
+
+
+_RESPONSES = "(SELECT DISTINCT response_id, prompt_id, prompt, domain, response, reasoning, answer, teacher_model FROM responses)"
+
+
+def _responses(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "responses").select("response_id", "prompt_id", "prompt", "domain", "response", "reasoning", "answer", "teacher_model").distinct()
+
+
+# --- Normal forms and identity -------------------------------------------------------------------------------------------
+
+
+@query("nrm1_collapse", rf"SELECT rec_no, trim(regexp_replace(prompt, '[\s\pZ]+', ' ', 'g')) AS text FROM prompts")
+def _(spark, sf):
+    return _t(spark, sf, "prompts").select("rec_no", text.normalise(F.col("prompt"), compat=False).alias("text"))
+
+
+@query("nrm1_normalise")
+def _(spark, sf):
+    return _t(spark, sf, "prompts").select("rec_no", text.normalise(F.col("prompt")).alias("text"))
+
+
+@query("nrm2_match_words", f"SELECT item_id, len(t) AS n_words, array_to_string(t, ' ') AS words FROM (SELECT item_id, {_match('question')} AS t FROM eval_items)")
+def _(spark, sf):
+    t = _t(spark, sf, "eval_items").select("item_id", text.match_words(F.col("question")).alias("t"))
+    return t.select("item_id", F.size("t").cast("long").alias("n_words"), F.array_join("t", " ").alias("words"))
+
+
+@query("nrm3_content_id", "SELECT rec_no, concat('sha256:', substr(sha256(prompt), 1, 32)) AS id FROM prompts")
+def _(spark, sf):
+    return _t(spark, sf, "prompts").select("rec_no", text.content_id(F.col("prompt")).alias("id"))
+
+
+@query("nrm4_file_slug", "SELECT DISTINCT substr(replace(replace(source, '/', '_'), ':', '_'), 1, 120) AS slug FROM prompts WHERE source IS NOT NULL")
+def _(spark, sf):
+    return _t(spark, sf, "prompts").where("source is not null").select(text.file_slug(F.col("source")).alias("slug")).distinct()
+
+
+@query("nrm5_last_words", f"SELECT doc_id, CASE WHEN len({_words('text')}) <= 100 THEN text ELSE array_to_string({_words('text')}[-100:], ' ') END AS tail FROM documents WHERE text IS NOT NULL")
+def _(spark, sf):
+    return _t(spark, sf, "documents").where("text is not null").select("doc_id", text.last_words(F.col("text"), 100).alias("tail"))
+
+
+@query("nrm6_first_words", f"SELECT doc_id, CASE WHEN len(w) <= 50 THEN text ELSE concat(array_to_string(w[1:50], ' '), chr(10), '… [truncated — ', len(w) - 50, ' more words]') END AS head FROM (SELECT doc_id, text, {_words('text')} AS w FROM documents WHERE text IS NOT NULL)")
+def _(spark, sf):
+    return _t(spark, sf, "documents").where("text is not null").select("doc_id", text.first_words(F.col("text"), 50).alias("head"))
+
+
+@query("lim2_shorten", "SELECT prompt_id, clustered_at, CASE WHEN length(s) > 120 THEN concat(substr(s, 1, 120), '…') ELSE s END AS shown FROM (SELECT prompt_id, clustered_at, coalesce(nullif(summary, ''), prompt) AS s FROM clustered_prompts)")
+def _(spark, sf):
+    c = _t(spark, sf, "clustered_prompts")
+    return c.select("prompt_id", "clustered_at", text.shorten(F.coalesce(text.nonempty(F.col("summary")), "prompt")).alias("shown"))
+
+
+# --- Scans, caps, dedup, set operations ----------------------------------------------------------------------------------
+
+
+@query("src7_cap_per_source", "SELECT rec_no, source FROM prompts QUALIFY row_number() OVER (PARTITION BY source ORDER BY rec_no) <= 20")
+def _(spark, sf):
+    return relations.cap_per_group(_t(spark, sf, "prompts").select("rec_no", "source"), "source", ["rec_no"], 20)
+
+
+@query("src8_record_ids", "SELECT doc_id, substr(md5(substr(text, 1, 100)), 1, 8) AS tag FROM documents WHERE length(text) > 100")
+def _(spark, sf):
+    d = _t(spark, sf, "documents").where(F.length("text") > 100)
+    return d.select("doc_id", F.substring(F.md5(F.substring("text", 1, 100)), 1, 8).alias("tag"))
+
+
+@query("src10_eval_texts", f"SELECT item_id AS owner, field_no, text FROM (SELECT item_id, 0::BIGINT AS field_no, {_strip('question')} AS text FROM eval_items UNION ALL SELECT item_id, 1, array_to_string(list_filter(list_transform(choices, lambda x: trim(x)), lambda x: x <> ''), ' ') FROM eval_items) WHERE text <> ''")
+def _(spark, sf):
+    e = files.eval_texts(_t(spark, sf, "eval_items"), "item_id", "item_id", ["question", "choices"])
+    return e.select("owner", F.col("field_no").cast("long").alias("field_no"), "text")
+
+
+@query("src12_embedding_scan", "SELECT vec_id, len(embedding) AS dims, label FROM embeddings")
+def _(spark, sf):
+    return _t(spark, sf, "embeddings").select("vec_id", F.size("embedding").cast("long").alias("dims"), "label")
+
+
+@query("agg1_first_per_id", "SELECT rec_no, prompt_id, source FROM prompts QUALIFY row_number() OVER (PARTITION BY prompt_id ORDER BY rec_no) = 1")
+def _(spark, sf):
+    return relations.first_per_key(_t(spark, sf, "prompts").select("rec_no", "prompt_id", "source"), "prompt_id", ["rec_no"])
+
+
+@query("agg2_dedup_rate", "SELECT source, count(*) AS seen, count(DISTINCT prompt_id) AS kept, round(100 * (1 - count(DISTINCT prompt_id) / count(*)), 6) AS rate FROM prompts GROUP BY source")
+def _(spark, sf):
+    return relations.dedup_rates(_t(spark, sf, "prompts"), "prompt_id", "source").withColumn("rate", F.round("rate", 6))
+
+
+@query("flt1_min_length", "SELECT rec_no FROM prompts WHERE length(trim(prompt)) >= 10")
+def _(spark, sf):
+    return _t(spark, sf, "prompts").where(F.length(F.trim("prompt")) >= 10).select("rec_no")
+
+
+@query("jn1_not_yet_done", "SELECT DISTINCT prompt_id FROM prompts WHERE prompt_id NOT IN (SELECT prompt_id FROM responses WHERE prompt_id IS NOT NULL)")
+def _(spark, sf):
+    return relations.not_yet_done(_t(spark, sf, "prompts").select("prompt_id"), _t(spark, sf, "responses"), "prompt_id").distinct()
+
+
+@query("set1_union_stages", "SELECT prompt_id, prompt, NULL AS difficulty, 'pool' AS tag FROM prompts UNION ALL SELECT prompt_id, prompt, difficulty, 'clustered' FROM clustered_prompts")
+def _(spark, sf):
+    a = _t(spark, sf, "prompts").select("prompt_id", "prompt", F.lit("pool").alias("tag"))
+    b = _t(spark, sf, "clustered_prompts").select("prompt_id", "prompt", "difficulty", F.lit("clustered").alias("tag"))
+    return relations.union_all(a, b).select("prompt_id", "prompt", "difficulty", "tag")
+
+
+@query("set2_union_distinct", "SELECT prompt_id, min(stage) AS stage FROM (SELECT prompt_id, stage FROM prompts UNION ALL SELECT prompt_id, stage FROM clustered_prompts) GROUP BY prompt_id")
+def _(spark, sf):
+    both = relations.union_all(*[_t(spark, sf, n).select("prompt_id", "stage") for n in ("prompts", "clustered_prompts")])
+    return relations.first_per_key(both, "prompt_id", ["stage"])
+
+
+@query("set3_token_sets", f"SELECT response_id, len(list_intersect(r, a)) AS shared, len(list_filter(a, lambda w: NOT list_contains(r, w))) AS only_answer FROM (SELECT response_id, list_distinct({_words('lower(reasoning)')}) AS r, list_distinct({_words('lower(answer)')}) AS a FROM {_RESPONSES})")
+def _(spark, sf):
+    r, a = (F.array_distinct(text.words(F.lower(c))) for c in ("reasoning", "answer"))
+    return _responses(spark, sf).select("response_id", F.size(F.array_intersect(r, a)).cast("long").alias("shared"), F.size(F.array_except(a, r)).cast("long").alias("only_answer"))
+
+
+@query("jn4_overlay", "SELECT p.rec_no, coalesce(nullif(c.domain, ''), nullif(p.domain, ''), 'general') AS domain, coalesce(nullif(c.difficulty, ''), 'medium') AS difficulty FROM prompts p LEFT JOIN (SELECT prompt_id, min(domain) AS domain, min(difficulty) AS difficulty FROM clustered_prompts GROUP BY prompt_id) c USING (prompt_id)")
+def _(spark, sf):
+    c = _t(spark, sf, "clustered_prompts").groupBy("prompt_id").agg(F.min("domain").alias("domain"), F.min("difficulty").alias("difficulty"))
+    out = relations.overlay(_t(spark, sf, "prompts").select("rec_no", "prompt_id", "domain"), c, "prompt_id", {"domain": F.lit("general"), "difficulty": F.lit("medium")})
+    return out.select("rec_no", "domain", "difficulty")
+
+
+@query("jn5_join_counts", "SELECT count(*) AS n, count(CASE WHEN r.prompt_id IS NULL THEN 1 END) AS missing, count(CASE WHEN r.prompt_id IS NOT NULL AND r.has_text = 0 THEN 1 END) AS empty FROM (SELECT DISTINCT prompt_id FROM clustered_prompts) c LEFT JOIN (SELECT prompt_id, max(CASE WHEN trim(coalesce(response, '')) <> '' THEN 1 ELSE 0 END) AS has_text FROM responses GROUP BY prompt_id) r USING (prompt_id)")
+def _(spark, sf):
+    r = _t(spark, sf, "responses").groupBy("prompt_id").agg(F.max(F.when(F.trim(F.coalesce("response", F.lit(""))) != "", 1).otherwise(0)).alias("has_text"))
+    j = _t(spark, sf, "clustered_prompts").select("prompt_id").distinct().join(r, "prompt_id", "left")
+    return j.agg(F.count("*").alias("n"), F.count(F.when(F.col("has_text").isNull(), 1)).alias("missing"), F.count(F.when(F.col("has_text") == 0, 1)).alias("empty"))
+
+
+@query("jn11_snapshot", "SELECT c.prompt_id, any_value(c.domain) AS domain, any_value(array_to_string(c.topics, ', ')) AS topics, count(DISTINCT r.response_id) AS n_responses FROM clustered_prompts c LEFT JOIN responses r USING (prompt_id) GROUP BY c.prompt_id")
+def _(spark, sf):
+    c = _t(spark, sf, "clustered_prompts").groupBy("prompt_id").agg(F.first("domain", ignorenulls=True).alias("domain"), F.first(F.array_join("topics", ", "), ignorenulls=True).alias("topics"))
+    r = _t(spark, sf, "responses").groupBy("prompt_id").agg(F.countDistinct("response_id").alias("n_responses"))
+    return c.join(r, "prompt_id", "left").select("prompt_id", "domain", "topics", F.coalesce("n_responses", F.lit(0)).alias("n_responses"))
+
+
+@query("jn15_semi_join", "SELECT doc_id FROM documents WHERE source IN (SELECT source FROM mix_targets)")
+def _(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", "source").join(_t(spark, sf, "mix_targets").select("source"), "source", "left_semi").select("doc_id")
+
+
+@query("sta3_latest_state", "SELECT response_id, max(generated_at) AS generated_at FROM responses GROUP BY response_id")
+def _(spark, sf):
+    ledger = _t(spark, sf, "responses").select("response_id", "generated_at", F.col("generated_at").alias("at"))
+    return relations.latest_state(ledger, "response_id", "at").select("response_id", "generated_at")
+
+
+# --- Extraction and parsing ----------------------------------------------------------------------------------------------
+
+_DELIMITED = r"regexp_extract(t, '(?s)<think>(.*?)</think>', 1)"
+_MARK = r"(?is)^(.*)(\b(?:therefore|thus|in conclusion|hence|so,|the answer is|final answer:?|in summary|to summarize)\b.*)$"
+_SENT = r"(?s)^(.*[.!?])[\s\pZ]+(.*)$"
+_PARSE_SQL = rf"""
+WITH base AS (SELECT response_id, {_strip("coalesce(response, '')")} AS t FROM {_RESPONSES}),
+parts AS (SELECT *, regexp_matches(t, '(?s)<think>.*?</think>') AS ht, regexp_matches(t, '(?s)<answer>.*?</answer>') AS ha,
+  {_strip("regexp_extract(t, '(?s)<think>(.*?)</think>', 1)")} AS th, {_strip("regexp_extract(t, '(?s)<answer>(.*?)</answer>', 1)")} AS an,
+  {_strip("regexp_extract(t, '(?s)<think>.*?</think>(.*)$', 1)")} AS tail,
+  {_strip(f"regexp_extract(t, '{_MARK}', 1)")} AS before, {_strip(f"regexp_extract(t, '{_MARK}', 2)")} AS after,
+  {_strip(f"regexp_extract(t, '{_SENT}', 1)")} AS body, {_strip(f"regexp_extract(t, '{_SENT}', 2)")} AS last FROM base),
+kind AS (SELECT *, CASE WHEN ht AND ha THEN 1 WHEN ht AND tail <> '' THEN 2 WHEN before <> '' AND after <> '' THEN 3 WHEN body <> '' AND last <> '' THEN 4 ELSE 5 END AS k FROM parts)
+SELECT response_id, CASE k WHEN 1 THEN th WHEN 2 THEN th WHEN 3 THEN before WHEN 4 THEN body ELSE t END AS reasoning,
+  CASE k WHEN 1 THEN an WHEN 2 THEN tail WHEN 3 THEN after WHEN 4 THEN last ELSE '' END AS answer, k > 2 AS fallback, k < 5 AS valid FROM kind"""
+
+
+@query("prs1_parse_response", _PARSE_SQL)
+def _(spark, sf):
+    return _responses(spark, sf).select("response_id", parse.parse_response(F.col("response")).alias("p")).select("response_id", "p.*")
+
+
+@query("prs2_parse_missing")
+def _(spark, sf):
+    return parse.with_parsed(_responses(spark, sf)).select("response_id", "reasoning", "answer")
+
+
+@query("prs4_longest_candidate", f"SELECT prompt_id, arg_max(response, (length(response), -response_id)) AS response FROM {_RESPONSES} WHERE response IS NOT NULL GROUP BY prompt_id")
+def _(spark, sf):
+    r = _responses(spark, sf).where("response is not null")
+    return r.groupBy("prompt_id").agg(F.max_by("response", F.struct(F.length("response"), -F.col("response_id"))).alias("response"))
+
+
+@query("prs3_best_candidate")
+def _(spark, sf):
+    r = _responses(spark, sf).where("response is not null").groupBy("prompt_id").agg(F.array_sort(F.collect_list(F.struct("response_id", "response"))).alias("c"))
+    return r.select("prompt_id", parse.best_candidate(F.transform("c", lambda x: x["response"]))["text"].alias("response"))
+
+
+@query("ext2_chat_values", r"SELECT rec_no, concat(coalesce(nullif(trim(source), ''), 'none'), chr(10), chr(10), regexp_replace(prompt, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')) AS prompt FROM prompts WHERE trim(coalesce(prompt, '')) <> ''")
+def _(spark, sf):
+    p = _t(spark, sf, "prompts").where(F.trim(F.coalesce("prompt", F.lit(""))) != "")
+    turn = lambda r, c: F.struct(F.lit(r).alias("role"), c.alias("content"))
+    source = F.coalesce(text.nonempty(F.trim("source")), F.lit("none"))
+    chat = F.to_json(F.array(turn("system", source), turn("assistant", F.lit("hello")), turn("user", F.lit(" ")), turn("user", F.trim("prompt")), turn("user", F.lit("later"))))
+    return p.select("rec_no", parse.prompt_of_value(chat).alias("prompt"))
+
+
+@query("chk2_char_chunks", "SELECT doc_id, i AS chunk_no, substr(text, i * 448 + 1, 512) AS chunk FROM (SELECT doc_id, text, unnest(generate_series(0, (length(text) - 1) // 448)) AS i FROM documents WHERE length(text) > 0) WHERE length(regexp_replace(substr(text, i * 448 + 1, 512), '^[\\s\\pZ]+|[\\s\\pZ]+$', '', 'g')) > 50".replace("\\\\", "\\"))
+def _(spark, sf):
+    c = parse.chunk_documents(_t(spark, sf, "documents"), "doc_id", "text", size_tokens=128, overlap_tokens=16)
+    return c.select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), "chunk")
+
+
+@query("chk3_chunk_ids", "SELECT doc_id, printf('%d:chunk_%04d', doc_id, i) AS chunk_id, substr(sha256(printf('%d:chunk_%04d', doc_id, i)), 1, 32) AS chunk_hash FROM (SELECT doc_id, text, unnest(generate_series(0, (length(text) - 1) // 448)) AS i FROM documents WHERE length(text) > 0) WHERE length(regexp_replace(substr(text, i * 448 + 1, 512), '^[\\s\\pZ]+|[\\s\\pZ]+$', '', 'g')) > 50".replace("\\\\", "\\"))
+def _(spark, sf):
+    return parse.chunk_documents(_t(spark, sf, "documents"), "doc_id", "text", size_tokens=128, overlap_tokens=16).select("doc_id", "chunk_id", "chunk_hash")
+
+
+@query("prs7_annotations", "SELECT DISTINCT prompt_id, CASE WHEN domain IN ('math', 'code', 'science', 'reasoning', 'writing', 'language', 'knowledge', 'instruction', 'other') THEN domain ELSE 'other' END AS domain, CASE WHEN difficulty IN ('easy', 'medium', 'hard') THEN difficulty ELSE 'medium' END AS difficulty, CASE WHEN length(language) <= 10 THEN language ELSE 'en' END AS language FROM clustered_prompts")
+def _(spark, sf):
+    c = _t(spark, sf, "clustered_prompts")
+    said = F.concat(F.lit("<think>Let me see {not json}</think>\n```json\n"), F.to_json(F.struct("domain", "difficulty", "language", "topics", "summary")), F.lit("\n```"))
+    return c.select("prompt_id", parse.parse_annotation(said).alias("a")).select("prompt_id", "a.domain", "a.difficulty", "a.language").distinct()
+
+
+@query("prs5_split_thought", rf"SELECT response_id, position('</think>' IN coalesce(response, '')) > 0 OR position('<think>' IN coalesce(response, '')) = 0 AS complete, CASE WHEN position('</think>' IN response) > 0 THEN {_strip("regexp_extract(response, '(?s)</think>(.*)$', 1)")} WHEN position('<think>' IN response) > 0 THEN '' ELSE {_strip("coalesce(response, '')")} END AS answer FROM {_RESPONSES}")
+def _(spark, sf):
+    return _responses(spark, sf).select("response_id", parse.split_thought(F.col("response")).alias("p")).select("response_id", "p.complete", "p.answer")
+
+
+@query("prj1_chat_messages", "SELECT rec_no, to_json([{'role': 'user', 'content': prompt}])::VARCHAR AS messages FROM prompts WHERE prompt IS NOT NULL")
+def _(spark, sf):
+    return _t(spark, sf, "prompts").where("prompt is not null").select("rec_no", F.to_json(parse.chat_messages(F.col("prompt"))).alias("messages"))
+
+
+# --- Labels and scores ---------------------------------------------------------------------------------------------------
+
+_COUNT = lambda ks: " ".join(f"len(regexp_extract_all(coalesce(prompt, ''), '(?i){'|'.join(ks)}'))".split())
+
+
+def _domain_sql(keywords: dict[str, list[str]]) -> str:
+    scores_ = {d: _COUNT(ks) for d, ks in keywords.items()}
+    top = f"greatest({', '.join(scores_.values())})"
+    cases = " ".join(f"WHEN {s} = {top} AND {s} > 0 THEN '{d}'" for d, s in scores_.items())
+    return f"SELECT rec_no, CASE {cases} ELSE 'general' END AS label FROM prompts"
+
+
+@query("lbl1_prompt_domain", _domain_sql(POOL_KEYWORDS))
+def _(spark, sf):
+    return _t(spark, sf, "prompts").select("rec_no", labels.prompt_domain(F.col("prompt"), POOL_KEYWORDS).alias("label"))
+
+
+@query("lbl1_prompt_domain_default", _domain_sql(labels.PROMPT_KEYWORDS))
+def _(spark, sf):
+    return _t(spark, sf, "prompts").select("rec_no", labels.prompt_domain(F.col("prompt")).alias("label"))
+
+
+def _cluster_sql() -> str:
+    n = lambda k: f"(length(t) - length(replace(t, '{k}', ''))) // {len(k)}"
+    scores_ = {d: "(" + " + ".join(n(k) for k in ks) + ")" for d, ks in labels.CLUSTER_KEYWORDS.items()}
+    cases = " ".join(f"WHEN s.{d} = m AND m > 0 THEN '{d}'" for d in scores_)
+    fields = ", ".join(f"{s} AS {d}" for d, s in scores_.items())
+    return f"""WITH first AS (SELECT cluster_id, lower(string_agg(prompt, ' ' ORDER BY prompt_id, clustered_at)) AS t FROM (SELECT * FROM clustered_prompts WHERE cluster_id >= 0 AND prompt IS NOT NULL QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY prompt_id, clustered_at) <= 50) GROUP BY cluster_id),
+s AS (SELECT cluster_id, {fields} FROM first), b AS (SELECT *, greatest({', '.join(scores_)}) AS m FROM s)
+SELECT cluster_id, CASE {cases.replace('s.', '')} ELSE 'other' END AS label FROM b"""
+
+
+@query("lbl2_cluster_domain", _cluster_sql())
+def _(spark, sf):
+    c = relations.cap_per_group(_t(spark, sf, "clustered_prompts").where("cluster_id >= 0 and prompt is not null"), "cluster_id", ["prompt_id", "clustered_at"], 50)
+    joined = c.groupBy("cluster_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("prompt_id", "clustered_at", "prompt"))), lambda x: x["prompt"]), " ").alias("t"))
+    return joined.select("cluster_id", labels.cluster_domain(F.col("t")).alias("label"))
+
+
+@query("lbl3_difficulty", rf"SELECT rec_no, CASE WHEN n >= 200 OR m THEN 'hard' WHEN n <= 50 THEN 'easy' ELSE 'medium' END AS label FROM (SELECT rec_no, len({_words('prompt')}) AS n, regexp_matches(coalesce(prompt, ''), '(?i){labels.MULTI_STEP}') AS m FROM prompts)")
+def _(spark, sf):
+    return _t(spark, sf, "prompts").select("rec_no", labels.difficulty(F.col("prompt")).alias("label"))
+
+
+@query("scr1_segment_ttr", f"SELECT doc_id, round(CASE WHEN len(t) < 100 THEN len(list_distinct(t)) / len(t) ELSE list_avg(list_transform(generate_series(0, len(t) // 100 - 1), lambda i: len(list_distinct(t[i * 100 + 1 : i * 100 + 100])) / 100.0)) END, 6) AS ttr FROM (SELECT doc_id, {_words('lower(text)')} AS t FROM documents) WHERE len(t) > 0")
+def _(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", F.round(scores.segment_ttr(text.words(F.lower("text"))), 6).alias("ttr"))
+    return d.where("ttr is not null")
+
+
+@query("scr2_top_gram", f"SELECT response_id, max(n) AS top FROM (SELECT response_id, g, count(*) AS n FROM (SELECT response_id, unnest(list_transform(generate_series(1, len(t) - 4), lambda i: array_to_string(t[i : i + 4], ' '))) AS g FROM (SELECT response_id, {_words('lower(response)')} AS t FROM {_RESPONSES}) WHERE len(t) >= 5) GROUP BY response_id, g) GROUP BY response_id")
+def _(spark, sf):
+    r = _responses(spark, sf).select("response_id", scores.top_gram_count(text.words(F.lower("response")), 5).cast("long").alias("top"))
+    return r.where("top > 0")
+
+
+_NEG = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in scores.NEGATIONS) + "]"
+
+
+@query("scr3_contradiction", f"""SELECT response_id FROM (SELECT response_id, list_distinct({_words('lower(reasoning)')}) AS r, list_distinct({_words('lower(answer)')}) AS a FROM {_RESPONSES})
+WHERE list_has_any(r, {_NEG}) <> list_has_any(a, {_NEG}) AND len(list_intersect(list_filter(r, lambda w: length(w) > 3 AND NOT list_contains({_NEG}, w)), list_filter(a, lambda w: length(w) > 3 AND NOT list_contains({_NEG}, w)))) >= 3""")
+def _(spark, sf):
+    return _responses(spark, sf).where(scores.contradicts(F.col("reasoning"), F.col("answer"))).select("response_id")
+
+
+@query("scr4_boilerplate", f"SELECT response_id FROM {_RESPONSES} WHERE regexp_matches({_strip("coalesce(answer, '')")}, '(?i)" + scores.BOILERPLATE.replace("'", "''") + "')")
+def _(spark, sf):
+    return _responses(spark, sf).where(scores.boilerplate(F.col("answer"))).select("response_id")
+
+
+@query("scr5_concluded_numbers")
+def _(spark, sf):
+    return _responses(spark, sf).select("response_id", F.explode(scores.concluded_numbers(F.col("answer"))).alias("number")).distinct()
+
+
+@query("scr7_numbers_disjoint")
+def _(spark, sf):
+    return _responses(spark, sf).where(scores.numbers_disjoint(F.col("reasoning"), F.col("answer"))).select("response_id")
+
+
+# --- Filters and reports -------------------------------------------------------------------------------------------------
+
+_CHAIN_SQL = f"""
+WITH f AS (SELECT response_id, domain, coalesce(reasoning, '') AS r, coalesce(answer, '') AS a, coalesce(response, '') AS x, coalesce(prompt, '') AS p FROM {_RESPONSES}),
+g AS (SELECT *, (r <> '' OR a <> '') AS parsed, CASE WHEN r <> '' OR a <> '' THEN concat(r, ' ', a) ELSE x END AS body, CASE WHEN r <> '' OR a <> '' THEN r ELSE x END AS rep FROM f),
+h AS (SELECT *, {_words('body')} AS w, {_words('lower(rep)')} AS rw, {_words('lower(body)')} AS lw FROM g),
+top AS (SELECT response_id, max(n) AS top FROM (SELECT response_id, gram, count(*) AS n FROM (SELECT response_id, unnest(list_transform(generate_series(1, len(rw) - 4), lambda i: array_to_string(rw[i : i + 4], ' '))) AS gram FROM h WHERE len(rw) >= 5) GROUP BY ALL) GROUP BY response_id),
+s AS (SELECT h.*, coalesce(top.top, 0) AS top, greatest(40, len(rw) // 150) AS lim, CASE WHEN len(lw) = 0 THEN NULL WHEN len(lw) < 100 THEN len(list_distinct(lw)) / len(lw) ELSE list_avg(list_transform(generate_series(0, len(lw) // 100 - 1), lambda i: len(list_distinct(lw[i * 100 + 1 : i * 100 + 100])) / 100.0)) END AS ttr FROM h LEFT JOIN top USING (response_id))
+"""
+_FAMILY = f"""CASE WHEN {_strip('p')} = '' THEN 'missing_prompt' WHEN NOT parsed AND {_strip('x')} = '' THEN 'missing_response' WHEN parsed AND {_strip('r')} = '' THEN 'missing_reasoning' WHEN parsed AND {_strip('a')} = '' THEN 'missing_answer'
+ WHEN len(w) < 20 THEN 'too_short' WHEN len(w) > 8000 THEN 'too_long' WHEN len(rw) >= lim + 5 AND top > lim THEN 'repetition_loop' WHEN ttr < 0.2 THEN 'low_info_density'
+ WHEN parsed AND regexp_matches({_strip('a')}, '(?i){scores.BOILERPLATE.replace("'", "''")}') THEN 'boilerplate_answer' END"""
+
+
+@query("flt2_structural", _CHAIN_SQL + f"SELECT response_id, {_FAMILY.split(' WHEN ttr')[0]} END AS family FROM s")
+def _(spark, sf):
+    return _responses(spark, sf).select("response_id", filters.family(filters.structural_reason()).alias("family"))
+
+
+@query("flt9_chain", _CHAIN_SQL + f"SELECT response_id, {_FAMILY} AS family FROM s")
+def _(spark, sf):
+    return filters.with_reason(_responses(spark, sf)).select("response_id", filters.family(F.col("reason")).alias("family"))
+
+
+@query("agg6_filter_report", _CHAIN_SQL + f"SELECT domain, {_FAMILY} AS family, count(*) AS n FROM s GROUP BY ALL")
+def _(spark, sf):
+    return filters.filter_report(filters.with_reason(_responses(spark, sf)))
+
+
+@query("flt5_code_check")
+def _(spark, sf):
+    r = _responses(spark, sf).select("response_id", "reasoning", "answer")
+    return filters.code_reasons(r, "response_id", seconds=5.0).select("response_id", "code_passed", filters.family(F.col("code_reason")).alias("family"))
+
+
+@query("flt5_code_blocks", r"SELECT response_id, list_extract(b, -1) AS block FROM (SELECT response_id, regexp_extract_all(concat(coalesce(reasoning, ''), chr(10), coalesce(answer, '')), '(?is)```(?:python|py)\s*\n(.*?)```', 1) AS b FROM " + _RESPONSES + ") WHERE len(b) > 0")
+def _(spark, sf):
+    return _responses(spark, sf).select("response_id", filters.last_code_block(F.col("reasoning"), F.col("answer")).alias("block")).where("block is not null")
+
+
+@query("flt10_search", "SELECT prompt_id, clustered_at FROM clustered_prompts WHERE domain IN ('math', 'code') AND difficulty = 'medium' AND (regexp_matches(coalesce(prompt, ''), '(?i)lens|cache|ratio') OR regexp_matches(coalesce(summary, ''), '(?i)lens|cache|ratio'))")
+def _(spark, sf):
+    hit = lambda c: F.coalesce(F.col(c), F.lit("")).rlike("(?iu)lens|cache|ratio")
+    return _t(spark, sf, "clustered_prompts").where(F.col("domain").isin("math", "code") & (F.col("difficulty") == "medium") & (hit("prompt") | hit("summary"))).select("prompt_id", "clustered_at")
+
+
+@query("flt11_older_chain")
+def _(spark, sf):
+    old = filters.TextLimits(least_words=50, gram_floor=3, words_per_repeat=10**9, least_ttr=0.30, contradictions=True, contradiction_words=10**9)
+    return filters.with_reason(_responses(spark, sf), old).select("response_id", filters.family(F.col("reason")).alias("family"))
+
+
+_FLAGS = _CHAIN_SQL + f", v AS (SELECT response_id, ({_FAMILY}) IS NULL AS passed, len(w) >= 60 AS good FROM s)"
+
+
+def _flags(spark, sf):
+    d = filters.with_reason(_responses(spark, sf))
+    body = F.when(filters._parsed(), F.concat(filters._text("reasoning"), F.lit(" "), filters._text("answer"))).otherwise(filters._text("response"))
+    return d.select("response_id", F.col("reason").isNull().alias("passed"), (F.size(text.words(body)) >= 60).alias("good"))
+
+
+@query("agg16_confusion", _FLAGS + ", c AS (SELECT count(CASE WHEN NOT passed AND NOT good THEN 1 END) AS tp, count(CASE WHEN NOT passed AND good THEN 1 END) AS fp, count(CASE WHEN passed AND NOT good THEN 1 END) AS fn, count(CASE WHEN passed AND good THEN 1 END) AS tn FROM v) SELECT tp, fp, fn, tn, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall, round(tn / nullif(tn + fp, 0), 6) AS specificity, round((tp + tn) / nullif(tp + fp + fn + tn, 0), 6) AS accuracy, round(2 * (tp / nullif(tp + fp, 0)) * (tp / nullif(tp + fn, 0)) / nullif(tp / nullif(tp + fp, 0) + tp / nullif(tp + fn, 0), 0), 6) AS f1 FROM c")
+def _(spark, sf):
+    c = filters.confusion(_flags(spark, sf), F.col("passed"), F.col("good"))
+    return c.select(*[F.col(x).cast("long").alias(x) for x in ("tp", "fp", "fn", "tn")], *[F.round(x, 6).alias(x) for x in ("precision", "recall", "specificity", "accuracy", "f1")])
+
+
+@query("agg22_flips", _FLAGS + " SELECT CASE WHEN passed AND good THEN 'pass_pass' WHEN passed THEN 'pass_fail' WHEN good THEN 'fail_pass' ELSE 'fail_fail' END AS flip, count(*) AS n FROM v GROUP BY 1")
+def _(spark, sf):
+    return filters.flips(_flags(spark, sf), F.col("passed"), F.col("good"))
+
+
+# --- Decontamination -----------------------------------------------------------------------------------------------------
+
+_GRAMS_SQL = f"""
+WITH it AS (SELECT item_id, {_match('question')} AS t FROM eval_items),
+g AS (SELECT item_id, len(t) AS n, unnest(CASE WHEN len(t) >= 13 THEN list_transform(generate_series(1, len(t) - 12), lambda i: array_to_string(t[i : i + 12], ' ')) WHEN len(t) >= 5 THEN [array_to_string(t, ' ')] ELSE [] END) AS gram FROM it),
+own AS (SELECT gram, least(min(n), 13) AS gram_len, min(item_id) AS owner FROM g GROUP BY gram),
+p AS (SELECT prompt_id, {_match('prompt')} AS t FROM prompts WHERE prompt_id IS NOT NULL),
+hit AS (SELECT DISTINCT p.prompt_id, own.owner, own.gram_len, position(concat(' ', own.gram, ' ') IN concat(' ', array_to_string(p.t, ' '), ' ')) AS pos FROM (SELECT prompt_id, t, unnest(list_concat(CASE WHEN len(t) >= 13 THEN list_transform(generate_series(1, len(t) - 12), lambda i: array_to_string(t[i : i + 12], ' ')) ELSE [] END, {{short}})) AS gram FROM p) p JOIN own USING (gram))
+SELECT prompt_id, arg_min(owner, (gram_len, pos, owner)) AS owner FROM hit GROUP BY prompt_id"""
+_SHORT = "flatten([" + ", ".join(f"CASE WHEN len(t) >= {n} THEN list_transform(generate_series(1, len(t) - {n - 1}), lambda i: array_to_string(t[i : i + {n - 1}], ' ')) ELSE [] END" for n in range(5, 13)) + "])"
+
+
+def _decontaminated(spark, sf, compat):
+    p = _t(spark, sf, "prompts").select("prompt_id", "prompt")
+    return decontam.decontaminate(p, "prompt_id", "prompt", _t(spark, sf, "eval_items"), "item_id", "item_id", "question", compat=compat)
+
+
+@query("jn2_hits", _GRAMS_SQL.replace("{short}", _SHORT))
+def _(spark, sf):
+    return _decontaminated(spark, sf, False)[1].select("prompt_id", "owner")
+
+
+@query("jn2_decontaminate")
+def _(spark, sf):
+    return _decontaminated(spark, sf, True)[0].select("prompt_id")
+
+
+@query("agg4_removals")
+def _(spark, sf):
+    p = _t(spark, sf, "prompts").select("prompt_id", "prompt")
+    _, hits = _decontaminated(spark, sf, True)
+    return decontam.removal_report(p, hits, "prompt_id").select("n_in", "n_removed", "removal_rate")
+
+
+@query("agg5_gram_owners", f"""WITH it AS (SELECT item_id, {_match('question')} AS t FROM eval_items), g AS (SELECT item_id, unnest(list_transform(generate_series(1, len(t) - 12), lambda i: array_to_string(t[i : i + 12], ' '))) AS gram FROM it WHERE len(t) >= 13 UNION ALL SELECT item_id, array_to_string(t, ' ') FROM it WHERE len(t) BETWEEN 5 AND 12) SELECT gram, min(item_id) AS owner FROM g GROUP BY gram""")
+def _(spark, sf):
+    return decontam.item_grams(_t(spark, sf, "eval_items"), "item_id", "item_id", "question").select("gram", "owner")
+
+
+# --- Statistics ----------------------------------------------------------------------------------------------------------
+
+
+@query("agg7_value_counts", "SELECT 'domain' AS field, domain AS value, count(*) AS n FROM clustered_prompts WHERE domain <> '' GROUP BY 2 UNION ALL SELECT 'language', language, count(*) FROM clustered_prompts WHERE language <> '' GROUP BY 2")
+def _(spark, sf):
+    c = _t(spark, sf, "clustered_prompts")
+    return relations.union_all(*[stats.value_counts(c, f).select(F.lit(f).alias("field"), "value", "n") for f in ("domain", "language")])
+
+
+@query("agg8_topics", "SELECT value, count(*) AS n FROM (SELECT trim(unnest(topics)) AS value FROM clustered_prompts) WHERE value <> '' GROUP BY value ORDER BY n DESC, value LIMIT 100")
+def _(spark, sf):
+    return stats.list_counts(_t(spark, sf, "clustered_prompts"), "topics", 100)
+
+
+@query("agg9_cross_tab", "SELECT domain, count(CASE WHEN difficulty = 'easy' THEN 1 END) AS easy, count(CASE WHEN difficulty = 'medium' THEN 1 END) AS medium, count(CASE WHEN difficulty = 'hard' THEN 1 END) AS hard FROM clustered_prompts WHERE domain <> '' GROUP BY domain")
+def _(spark, sf):
+    return stats.cross_tab(_t(spark, sf, "clustered_prompts"), "domain", "difficulty", ["easy", "medium", "hard"])
+
+
+@query("agg10_topics_per_domain", "SELECT domain, value, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY n DESC, value) AS rank FROM (SELECT domain, value, count(*) AS n FROM (SELECT domain, trim(unnest(topics)) AS value FROM clustered_prompts WHERE domain <> '') WHERE value <> '' GROUP BY ALL)) WHERE rank <= 15")
+def _(spark, sf):
+    return stats.top_per_group(_t(spark, sf, "clustered_prompts"), "domain", "topics", 15).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("agg11_cluster_sizes", "SELECT cluster_id, count(*) AS size FROM clustered_prompts WHERE cluster_id >= 0 GROUP BY cluster_id")
+def _(spark, sf):
+    return stats.cluster_sizes(_t(spark, sf, "clustered_prompts"))
+
+
+_HIST = "WITH s AS (SELECT count(*) AS size FROM clustered_prompts WHERE cluster_id >= 0 GROUP BY cluster_id), e AS (SELECT unnest([0, 5, 20, 50, 100, 250, 500, 1000, 5000])::INT AS lo, unnest([5, 20, 50, 100, 250, 500, 1000, 5000, NULL])::INT AS hi), h AS (SELECT lo, hi, count(s.size) AS n FROM e LEFT JOIN s ON s.size >= lo AND (hi IS NULL OR s.size < hi) GROUP BY lo, hi)"
+
+
+@query("agg12_size_histogram", _HIST + " SELECT lo, hi, n FROM h")
+def _(spark, sf):
+    return stats.size_histogram(stats.cluster_sizes(_t(spark, sf, "clustered_prompts")))
+
+
+@query("agg15_histogram_median", _HIST + ", c AS (SELECT *, sum(n) OVER (ORDER BY lo) AS upto, sum(n) OVER () AS total FROM h) SELECT round(lo + (total / 2 - (upto - n)) / n * (coalesce(hi, lo) - lo), 6) AS median FROM c WHERE upto >= total / 2 AND upto - n < total / 2")
+def _(spark, sf):
+    return stats.histogram_median(stats.size_histogram(stats.cluster_sizes(_t(spark, sf, "clustered_prompts")))).select(F.round("median", 6).alias("median"))
+
+
+@query("agg13_dominant_domain", "SELECT domain, count(*) AS n_clusters FROM (SELECT cluster_id, domain FROM (SELECT cluster_id, domain, row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, domain) AS r FROM clustered_prompts WHERE cluster_id >= 0 AND domain <> '' GROUP BY cluster_id, domain) WHERE r = 1) GROUP BY domain")
+def _(spark, sf):
+    return stats.dominant_label(_t(spark, sf, "clustered_prompts").where("cluster_id >= 0"), "cluster_id", "domain").groupBy("domain").agg(F.count("*").alias("n_clusters"))
+
+
+@query("agg14_row_shares", "SELECT domain, difficulty, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY domain), 6) AS share FROM clustered_prompts WHERE domain <> '' AND difficulty <> '' GROUP BY domain, difficulty")
+def _(spark, sf):
+    return stats.row_shares(_t(spark, sf, "clustered_prompts"), "domain", "difficulty").withColumn("share", F.round("share", 6))
+
+
+@query("agg17_score_summary", "SELECT label, count(*) AS n, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS stdev, count(CASE WHEN v = 1 THEN 1 END) AS n_1, count(CASE WHEN v = 5 THEN 1 END) AS n_5 FROM (SELECT label, vec_id % 5 + 1 AS v FROM embeddings) GROUP BY label")
+def _(spark, sf):
+    s = stats.score_summary(_t(spark, sf, "embeddings").select("label", (F.col("vec_id") % 5 + 1).alias("v")), "label", "v")
+    return s.select("label", "n", F.round("mean", 6).alias("mean"), F.round("stdev", 6).alias("stdev"), "n_1", "n_5")
+
+
+@query("agg18_centroids", "SELECT label, i - 1 AS i, round(x / nullif(sqrt(sum(x * x) OVER (PARTITION BY label)), 0), 5) AS x FROM (SELECT label, i, avg(e) AS x FROM (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))) AS e FROM embeddings) GROUP BY label, i)")
+def _(spark, sf):
+    c = vectors.centroids(_t(spark, sf, "embeddings"), "label", "embedding")
+    return c.select(F.col("cluster").alias("label"), F.posexplode("centroid").alias("i", "x")).select("label", F.col("i").cast("long").alias("i"), F.round("x", 5).alias("x"))
+
+
+@query("vec8_own_similarity", "WITH u AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))) AS e FROM embeddings), c AS (SELECT label, list(x ORDER BY i) AS v FROM (SELECT label, i, avg(e) AS x FROM u GROUP BY label, i) GROUP BY label) SELECT vec_id, round(list_cosine_similarity(list_transform(embedding, lambda v: v::DOUBLE), c.v), 5) AS centroid_sim FROM embeddings JOIN c USING (label)")
+def _(spark, sf):
+    return vectors.own_similarity(_t(spark, sf, "embeddings"), "label", "embedding").select("vec_id", F.round("centroid_sim", 5).alias("centroid_sim"))
+
+
+@query("jn9_nearest_centre", "WITH u AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))) AS e FROM embeddings), c AS (SELECT label, list(x ORDER BY i) AS v FROM (SELECT label, i, avg(e) AS x FROM u GROUP BY label, i) GROUP BY label) SELECT vec_id, arg_max(c.label, list_cosine_similarity(list_transform(embedding, lambda v: v::DOUBLE), c.v)) AS cluster FROM embeddings, c GROUP BY vec_id")
+def _(spark, sf):
+    e = _t(spark, sf, "embeddings")
+    return vectors.nearest_centre(e, "vec_id", "embedding", vectors.centroids(e, "label", "embedding")).select("vec_id", F.col("cluster").cast("int").alias("cluster"))
+
+
+@query("vec3_exact_search", "SELECT q AS query_id, vec_id, rank FROM (SELECT q.vec_id AS q, e.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(list_transform(q.embedding, lambda v: v::DOUBLE), list_transform(e.embedding, lambda v: v::DOUBLE)), 9) DESC, e.vec_id) AS rank FROM (SELECT * FROM embeddings WHERE vec_id % 50 = 0) q, embeddings e) WHERE rank <= 10")
+def _(spark, sf):
+    e = _t(spark, sf, "embeddings")
+    s = vectors.search(e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), "query_id", e, "vec_id", "embedding", 10)
+    return s.select("query_id", "vec_id", F.col("rank").cast("long").alias("rank"))
+
+
+@query("vec4_spherical_kmeans")
+def _(spark, sf):
+    return vectors.spherical_kmeans(_t(spark, sf, "embeddings"), "vec_id", "embedding", 10, rounds=8)[0].select("vec_id", "cluster")
+
+
+@query("vec1_embed")
+def _(spark, sf):
+    p = relations.first_per_key(_t(spark, sf, "prompts").select("prompt_id", "prompt"), "prompt_id", ["prompt"])
+    return vectors.embed(p, "prompt_id", "prompt")
+
+
+@query("agg23_source_shares", "SELECT source AS value, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 2) AS percent FROM prompts WHERE source <> '' GROUP BY source")
+def _(spark, sf):
+    return stats.share_of_total(_t(spark, sf, "prompts"), "source")
+
+
+@query("top1_languages", "SELECT language AS value, count(*) AS n FROM clustered_prompts WHERE language <> '' GROUP BY language ORDER BY n DESC, value LIMIT 30")
+def _(spark, sf):
+    return stats.top_values(_t(spark, sf, "clustered_prompts"), "language", 30)
+
+
+# --- Ranking and sampling ------------------------------------------------------------------------------------------------
+
+_CELLS = sampling.cell_targets(1000)
+_TARGETS = ", ".join(f"('{d}', '{x}', {n})" for d, x, n in _CELLS if n > 0)
+
+
+def _pool(spark, sf):
+    c = _t(spark, sf, "clustered_prompts").select("prompt_id", F.lower(F.trim("domain")).alias("domain"), F.lower(F.trim("difficulty")).alias("difficulty"), F.coalesce("cluster_id", F.lit(-1)).alias("cluster_id"), F.coalesce("centroid_sim", F.lit(0.5)).cast("float").alias("centroid_sim"))
+    return c.distinct()
+
+
+_POOL = "(SELECT DISTINCT prompt_id, lower(trim(domain)) AS domain, lower(trim(difficulty)) AS difficulty, coalesce(cluster_id, -1) AS cluster_id, coalesce(centroid_sim, 0.5)::FLOAT AS centroid_sim FROM clustered_prompts)"
+
+
+@query("win1_centroid_order", f"SELECT prompt_id, cluster_id, CASE WHEN r = 1 THEN 0 ELSE n - r + 1 END AS pos FROM (SELECT *, row_number() OVER w AS r, count(*) OVER (PARTITION BY domain, difficulty, cluster_id) AS n FROM {_POOL} WINDOW w AS (PARTITION BY domain, difficulty, cluster_id ORDER BY centroid_sim DESC, prompt_id))")
+def _(spark, sf):
+    o = sampling.centroid_order(_pool(spark, sf), ["domain", "difficulty", "cluster_id"], "centroid_sim", "prompt_id")
+    return o.select("prompt_id", "cluster_id", F.col("pos").cast("long").alias("pos"))
+
+
+@query("win3_round_robin", f"""WITH t(domain, difficulty, target) AS (VALUES {_TARGETS}), p AS (SELECT * FROM {_POOL} JOIN t USING (domain, difficulty)),
+o AS (SELECT *, CASE WHEN r = 1 THEN 0 ELSE n - r + 1 END AS pos FROM (SELECT *, row_number() OVER (PARTITION BY domain, difficulty, cluster_id ORDER BY centroid_sim DESC, prompt_id) AS r, count(*) OVER (PARTITION BY domain, difficulty, cluster_id) AS n FROM p)),
+k AS (SELECT domain, difficulty, cluster_id, row_number() OVER (PARTITION BY domain, difficulty ORDER BY md5(concat(cluster_id, ':42')), cluster_id) AS rank FROM (SELECT DISTINCT domain, difficulty, cluster_id FROM p))
+SELECT prompt_id, domain, difficulty, turn FROM (SELECT *, row_number() OVER (PARTITION BY domain, difficulty ORDER BY pos, rank) AS turn FROM o JOIN k USING (domain, difficulty, cluster_id)) WHERE turn <= target""")
+def _(spark, sf):
+    return sampling.quota_round_robin(_pool(spark, sf), 1000, "prompt_id").select("prompt_id", "domain", "difficulty", F.col("turn").cast("long").alias("turn"))
+
+
+@query("win2_shuffled_clusters")
+def _(spark, sf):
+    return sampling.quota_round_robin(_pool(spark, sf), 1000, "prompt_id", order="python").select("prompt_id", "domain", "difficulty", "turn")
+
+
+@query("win4_shortfall", f"WITH t(domain, difficulty, target) AS (VALUES {_TARGETS}) SELECT t.domain, t.difficulty, t.target, count(p.prompt_id) AS available FROM t LEFT JOIN {_POOL} p USING (domain, difficulty) GROUP BY ALL")
+def _(spark, sf):
+    t = spark.createDataFrame([c for c in _CELLS if c[2] > 0], "domain string, difficulty string, target int")
+    n = _pool(spark, sf).groupBy("domain", "difficulty").agg(F.count("*").alias("available"))
+    return t.join(n, ["domain", "difficulty"], "left").select("domain", "difficulty", "target", F.coalesce("available", F.lit(0)).alias("available"))
+
+
+@query("smp1_hash_sample")
+def _(spark, sf):
+    return sampling.hash_sample(_t(spark, sf, "prompts").select("rec_no", "prompt_id"), "rec_no", 1000)
+
+
+@query("smp2_first_members", "SELECT prompt_id, cluster_id, clustered_at FROM clustered_prompts WHERE cluster_id >= 0 QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY prompt_id, clustered_at) <= 50")
+def _(spark, sf):
+    c = _t(spark, sf, "clustered_prompts").where("cluster_id >= 0").select("prompt_id", "cluster_id", "clustered_at")
+    return relations.cap_per_group(c, "cluster_id", ["prompt_id", "clustered_at"], 50)
+
+
+@query("smp3_window_per_domain", f"SELECT response_id, domain FROM (SELECT response_id, domain, row_number() OVER (PARTITION BY domain ORDER BY response_id) AS r FROM {_RESPONSES}) WHERE r > 5 AND r <= 15")
+def _(spark, sf):
+    return sampling.window_per_group(_responses(spark, sf).select("response_id", "domain"), "domain", ["response_id"], 5, 10)
+
+
+@query("lim1_page", "SELECT rec_no, prompt_id FROM prompts ORDER BY rec_no LIMIT 10 OFFSET 30")
+def _(spark, sf):
+    return sampling.page(_t(spark, sf, "prompts").select("rec_no", "prompt_id"), ["rec_no"], 3)
+
+
+# --- Sinks ---------------------------------------------------------------------------------------------------------------
+
+
+@query("snk7_final_records", f"SELECT prompt_id AS id, coalesce(prompt, '') AS prompt, coalesce(reasoning, '') AS reasoning, coalesce(answer, '') AS answer, coalesce(domain, 'general') AS domain, 'medium' AS difficulty, 'en' AS language, 'unknown' AS source, coalesce(teacher_model, 'unknown') AS teacher_model FROM {_RESPONSES}")
+def _(spark, sf):
+    return files.final_records(_responses(spark, sf), ["response_id"])
+
+
+@query("snk5_annotation_requests", "SELECT prompt_id, any_value(to_json([{'role': 'user', 'content': prompt}])::VARCHAR) AS messages FROM clustered_prompts WHERE prompt IS NOT NULL GROUP BY prompt_id")
+def _(spark, sf):
+    c = _t(spark, sf, "clustered_prompts").where("prompt is not null").groupBy("prompt_id").agg(F.min("prompt").alias("prompt"))
+    return c.select("prompt_id", F.to_json(parse.chat_messages(text.last_words(F.col("prompt"), 512))).alias("messages"))
+
+
+@query("snk12_first_rejections", _CHAIN_SQL + f"SELECT response_id, {_FAMILY} AS family FROM s WHERE ({_FAMILY}) IS NOT NULL ORDER BY response_id LIMIT 20")
+def _(spark, sf):
+    d = filters.with_reason(_responses(spark, sf)).where("reason is not null").orderBy("response_id").limit(20)
+    return d.select("response_id", filters.family(F.col("reason")).alias("family"))
