@@ -112,4 +112,4 @@ def pack_containers(items: DataFrame, id_col: str, size_col: str, plans: DataFra
 def fill_rates(packed: DataFrame, plans: DataFrame, plan_col: str, capacity_col: str) -> DataFrame:
     """(plan, capacity, containers, tokens, fill): of each plan the containers used and the share of their room."""
     per = packed.groupBy(plan_col).agg(F.countDistinct("container").alias("containers"), F.sum("tokens").alias("tokens"))
-    return plans.join(per, plan_col, "left").select(plan_col, capacity_col, F.coalesce("containers", F.lit(0)).alias("containers"), F.coalesce("tokens", F.lit(0)).alias("tokens"), (F.col("tokens") / (F.col("containers") * F.col(capacity_col))).alias("fill"))
+    return plans.select(plan_col, capacity_col).join(per, plan_col, "left").select(plan_col, capacity_col, F.coalesce("containers", F.lit(0)).alias("containers"), F.coalesce("tokens", F.lit(0)).alias("tokens"), (F.col("tokens") / (F.col("containers") * F.col(capacity_col))).alias("fill"))

@@ -43,7 +43,7 @@ def _labelled(df: DataFrame, id_col: str, labels: Sequence[str]) -> tuple[DataFr
 
 
 def _with_counts(counts: DataFrame, total: DataFrame, targets: DataFrame, labels: Sequence[str], fraction: float) -> DataFrame:
-    t = targets.withColumn("cell", F.concat_ws("\x1f", *[F.coalesce(_clean(c), F.lit("\x1e")) for c in labels]))
+    t = targets.select(*labels, "target_share", "min_rows").withColumn("cell", F.concat_ws("\x1f", *[F.coalesce(_clean(c), F.lit("\x1e")) for c in labels]))
     # total is one row, counts at most one row per cell.
     return t.join(counts, "cell", "left").crossJoin(total).withColumn("n", F.floor(F.col("n_ids") * fraction)).withColumn("available", F.coalesce("available", F.lit(0))).withColumn("wanted", F.col("target_share") * F.col("n")).drop("n_ids")
 
