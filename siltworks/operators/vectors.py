@@ -22,9 +22,9 @@ def norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity; 0 where either vector is zero."""
+    """Cosine similarity; 0 where either vector is zero, null where one is missing."""
     n = norm(a) * norm(b)
-    return F.when(n > 0, dot(a, b) / n).otherwise(0.0)
+    return F.when(n > 0, dot(a, b) / n).when(n == 0, 0.0)
 
 
 def unit(a: Column, eps: float = 1e-8) -> Column:
