@@ -166,4 +166,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that it can express; the others are tested against brute force or held-out rows."""
+    cell = "lower(trim(domain)) AS d, lower(trim(difficulty)) AS x"
+    counts = f"""WITH ids AS (SELECT prompt_id, min(d) AS d, min(x) AS x FROM (SELECT prompt_id, {cell} FROM clustered_prompts WHERE prompt_id IS NOT NULL) GROUP BY prompt_id),
+c AS (SELECT d, x, count(*) AS available FROM ids GROUP BY d, x),
+t AS (SELECT q.domain, q.difficulty, q.target_share, q.min_rows, coalesce(c.available, 0) AS available, q.target_share * (SELECT count(*) // 4 FROM ids) AS wanted
+  FROM (SELECT *, {cell} FROM quota_targets) q LEFT JOIN c ON q.d = c.d AND q.x = c.x)"""
+    return {"p3_found": f"{counts} SELECT domain, difficulty FROM t WHERE available < min_rows OR available < wanted"}
