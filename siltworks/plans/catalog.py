@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions import labels, scores, text
-from siltworks.operators import decontam, filters, parse, relations, sampling, stats, vectors
+from siltworks.operators import decontam, external, filters, parse, relations, sampling, stats, vectors
+from siltworks.session import spread
 from siltworks.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +77,7 @@ def _(spark, sf):
 
 @query("nrm1_normalise")
 def _(spark, sf):
-    return _t(spark, sf, "prompts").select("rec_no", text.normalise(F.col("prompt")).alias("text"))
+    return spread(_t(spark, sf, "prompts").select("rec_no", "prompt")).select("rec_no", text.normalise(F.col("prompt")).alias("text"))
 
 
 @query("nrm2_match_words", f"SELECT item_id, len(t) AS n_words, array_to_string(t, ' ') AS words FROM (SELECT item_id, {_match('question')} AS t FROM eval_items)")
@@ -297,12 +298,12 @@ def _domain_sql(keywords: dict[str, list[str]]) -> str:
 
 @query("lbl1_prompt_domain", _domain_sql(POOL_KEYWORDS))
 def _(spark, sf):
-    return _t(spark, sf, "prompts").select("rec_no", labels.prompt_domain(F.col("prompt"), POOL_KEYWORDS).alias("label"))
+    return spread(_t(spark, sf, "prompts").select("rec_no", "prompt")).select("rec_no", labels.prompt_domain(F.col("prompt"), POOL_KEYWORDS).alias("label"))
 
 
 @query("lbl1_prompt_domain_default", _domain_sql(labels.PROMPT_KEYWORDS))
 def _(spark, sf):
-    return _t(spark, sf, "prompts").select("rec_no", labels.prompt_domain(F.col("prompt")).alias("label"))
+    return spread(_t(spark, sf, "prompts").select("rec_no", "prompt")).select("rec_no", labels.prompt_domain(F.col("prompt")).alias("label"))
 
 
 def _cluster_sql() -> str:
@@ -329,7 +330,7 @@ def _(spark, sf):
 
 @query("scr1_segment_ttr", f"SELECT doc_id, round(CASE WHEN len(t) < 100 THEN len(list_distinct(t)) / len(t) ELSE list_avg(list_transform(generate_series(0, len(t) // 100 - 1), lambda i: len(list_distinct(t[i * 100 + 1 : i * 100 + 100])) / 100.0)) END, 6) AS ttr FROM (SELECT doc_id, {_words('lower(text)')} AS t FROM documents) WHERE len(t) > 0")
 def _(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", F.round(scores.segment_ttr(text.words(F.lower("text"))), 6).alias("ttr"))
+    d = spread(_t(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.round(scores.segment_ttr(text.words(F.lower("text"))), 6).alias("ttr"))
     return d.where("ttr is not null")
 
 
@@ -448,7 +449,7 @@ _SHORT = "flatten([" + ", ".join(f"CASE WHEN len(t) >= {n} THEN list_transform(g
 
 
 def _decontaminated(spark, sf, compat):
-    p = _t(spark, sf, "prompts").select("prompt_id", "prompt")
+    p = spread(_t(spark, sf, "prompts").select("prompt_id", "prompt"))
     return decontam.decontaminate(p, "prompt_id", "prompt", _t(spark, sf, "eval_items"), "item_id", "item_id", "question", compat=compat)
 
 
@@ -656,3 +657,119 @@ def _(spark, sf):
 def _(spark, sf):
     d = filters.with_reason(_responses(spark, sf)).where("reason is not null").orderBy("response_id").limit(20)
     return d.select("response_id", filters.family(F.col("reason")).alias("family"))
+
+
+# --- More joins, reports and projections ---------------------------------------------------------------------------------
+
+
+@query("ext1_nested_field", "SELECT doc_id, source AS a_b, NULL AS a_c FROM documents")
+def _(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", F.struct(F.col("source").alias("b"), F.lit(None).cast("string").alias("c")).alias("a"))
+    return d.select("doc_id", parse.field("a.b").alias("a_b"), parse.field("a.c").alias("a_c"))
+
+
+@query("nrm7_prefix", "SELECT doc_id, substr(text, 1, 400) AS head FROM documents WHERE text IS NOT NULL")
+def _(spark, sf):
+    return _t(spark, sf, "documents").where("text is not null").select("doc_id", F.substring("text", 1, 400).alias("head"))
+
+
+@query("src13_annotation_topics", "SELECT prompt_id, clustered_at, len(topics) AS n_topics, topics[1] AS first_topic FROM clustered_prompts WHERE topics IS NOT NULL")
+def _(spark, sf):
+    # Topics pass through their stored form, a JSON string.
+    c = _t(spark, sf, "clustered_prompts").where("topics is not null").select("prompt_id", "clustered_at", F.from_json(F.to_json("topics"), "array<string>").alias("t"))
+    return c.select("prompt_id", "clustered_at", F.size("t").cast("long").alias("n_topics"), F.get("t", F.lit(0)).alias("first_topic"))
+
+
+@query("jn6_new_annotations", "SELECT prompt_id, min(clustered_at) AS clustered_at FROM clustered_prompts WHERE prompt_id NOT IN (SELECT prompt_id FROM responses WHERE prompt_id IS NOT NULL) GROUP BY prompt_id")
+def _(spark, sf):
+    c = relations.not_yet_done(_t(spark, sf, "clustered_prompts").select("prompt_id", "clustered_at"), _t(spark, sf, "responses"), "prompt_id")
+    return relations.first_per_key(c, "prompt_id", ["clustered_at"])
+
+
+@query("jn10_sampled_records", f"WITH s AS (SELECT prompt_id, row_number() OVER (ORDER BY md5(prompt_id), prompt_id) AS place FROM (SELECT DISTINCT prompt_id FROM clustered_prompts) ORDER BY place LIMIT 200) SELECT s.place, p.prompt_id, p.domain FROM s JOIN {_POOL} p USING (prompt_id)")
+def _(spark, sf):
+    ids = _t(spark, sf, "clustered_prompts").select("prompt_id").distinct()
+    head = ids.withColumn("h", F.md5("prompt_id")).orderBy("h", "prompt_id").limit(200)
+    # The sample is of a fixed size, so its places come from one small sort.
+    place = head.agg(F.array_sort(F.collect_list(F.struct("h", "prompt_id"))).alias("s")).select(F.posexplode("s").alias("i", "x")).select((F.col("i") + 1).cast("long").alias("place"), F.col("x.prompt_id").alias("prompt_id"))
+    return place.join(_pool(spark, sf), "prompt_id").select("place", "prompt_id", "domain")
+
+
+@query("jn12_verified_scores", _FLAGS + f", j AS (SELECT response_id, response_id % 5 + 1 AS score FROM {_RESPONSES} WHERE response_id % 3 <> 0) SELECT count(*) AS n, count(CASE WHEN passed AND score >= 4 THEN 1 END) AS passed_good, count(CASE WHEN NOT passed AND score < 4 THEN 1 END) AS rejected_bad FROM v JOIN j USING (response_id)")
+def _(spark, sf):
+    j = _responses(spark, sf).where("response_id % 3 <> 0").select("response_id", (F.col("response_id") % 5 + 1).alias("score"))
+    v = _flags(spark, sf).join(j, "response_id")
+    return v.agg(F.count("*").alias("n"), F.count(F.when(F.col("passed") & (F.col("score") >= 4), 1)).alias("passed_good"), F.count(F.when(~F.col("passed") & (F.col("score") < 4), 1)).alias("rejected_bad"))
+
+
+@query("jn13_comparison", _CHAIN_SQL + f"SELECT s.response_id, {_FAMILY} AS now, CASE WHEN len(w) < 50 THEN 'too_short' END AS before, d.n_prompts FROM s LEFT JOIN (SELECT domain, count(*) AS n_prompts FROM prompts GROUP BY domain) d USING (domain)")
+def _(spark, sf):
+    d = filters.with_reason(_responses(spark, sf))
+    body = F.when(filters._parsed(), F.concat(filters._text("reasoning"), F.lit(" "), filters._text("answer"))).otherwise(filters._text("response"))
+    per = _t(spark, sf, "prompts").groupBy("domain").agg(F.count("*").alias("n_prompts"))
+    return d.withColumn("before", F.when(F.size(text.words(body)) < 50, "too_short")).join(per, "domain", "left").select("response_id", filters.family(F.col("reason")).alias("now"), "before", "n_prompts")
+
+
+@query("jn14_judge_cache", f"SELECT response_id, CASE WHEN response_id % 2 = 0 THEN 'kept' ELSE 'sent' END AS origin FROM {_RESPONSES}")
+def _(spark, sf):
+    r = _responses(spark, sf).select("response_id")
+    scored = r.where("response_id % 2 = 0")
+    kept = r.join(scored, "response_id", "left_semi").withColumn("origin", F.lit("kept"))
+    return kept.unionByName(relations.not_yet_done(r, scored, "response_id").withColumn("origin", F.lit("sent")))
+
+
+@query("agg3_shard_counts", "SELECT shard, count(*) AS n_input, count(CASE WHEN length(prompt) < 100 THEN 1 END) AS n_removed, count(DISTINCT source) AS n_sources FROM prompts GROUP BY shard")
+def _(spark, sf):
+    return _t(spark, sf, "prompts").groupBy("shard").agg(F.count("*").alias("n_input"), F.count(F.when(F.length("prompt") < 100, 1)).alias("n_removed"), F.countDistinct("source").alias("n_sources"))
+
+
+@query("agg20_counts", "SELECT (SELECT count(*) FROM prompts) AS n_prompts, (SELECT count(*) FROM responses) AS n_responses, (SELECT count(DISTINCT prompt_id) FROM clustered_prompts) AS n_clustered")
+def _(spark, sf):
+    n = lambda t, c, name: _t(spark, sf, t).agg(c.alias(name))
+    return n("prompts", F.count("*"), "n_prompts").crossJoin(n("responses", F.count("*"), "n_responses")).crossJoin(n("clustered_prompts", F.countDistinct("prompt_id"), "n_clustered"))
+
+
+@query("agg21_reason_buckets", _CHAIN_SQL + f"SELECT coalesce(CASE WHEN f IN ('too_short', 'too_long') THEN substr(concat(f, ':', len(w)), 1, 30) ELSE f END, 'passed') AS bucket, count(*) AS n FROM (SELECT *, {_FAMILY} AS f FROM s) WHERE f IS NULL OR f <> 'low_info_density' GROUP BY 1")
+def _(spark, sf):
+    d = filters.with_reason(_responses(spark, sf)).where("reason is null or reason not like 'low_info_density%'")
+    return d.groupBy(F.coalesce(filters.bucket(F.col("reason")), F.lit("passed")).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query("snk8_json_report", "SELECT to_json({'n_prompts': count(*), 'n_ids': count(DISTINCT prompt_id), 'n_sources': count(DISTINCT source)})::VARCHAR AS report FROM prompts")
+def _(spark, sf):
+    row = _t(spark, sf, "prompts").agg(F.count("*").alias("n_prompts"), F.countDistinct("prompt_id").alias("n_ids"), F.countDistinct("source").alias("n_sources"))
+    return row.select(F.to_json(F.struct("n_prompts", "n_ids", "n_sources")).alias("report"))
+
+
+@query("prj2_judge_prompt", f"SELECT response_id, concat('Question:', chr(10), substr(coalesce(prompt, ''), 1, 2000), chr(10), chr(10), 'Answer:', chr(10), substr(coalesce(answer, ''), 1, 3000)) AS judge_prompt FROM {_RESPONSES}")
+def _(spark, sf):
+    part = lambda c, n: F.substring(F.coalesce(c, F.lit("")), 1, n)
+    return _responses(spark, sf).select("response_id", F.concat(F.lit("Question:\n"), part("prompt", 2000), F.lit("\n\nAnswer:\n"), part("answer", 3000)).alias("judge_prompt"))
+
+
+@query("prs10_field_choice", f"SELECT response_id, coalesce(nullif({_strip('answer')}, ''), nullif({_strip('response')}, ''), '-') AS shown FROM {_RESPONSES}")
+def _(spark, sf):
+    said = lambda c: text.nonempty(text.strip(F.col(c)))
+    return _responses(spark, sf).select("response_id", F.coalesce(said("answer"), said("response"), F.lit("-")).alias("shown"))
+
+
+@query("srt1_ordered_states", "SELECT response_id, generated_at FROM responses ORDER BY generated_at NULLS LAST, response_id LIMIT 500")
+def _(spark, sf):
+    return _t(spark, sf, "responses").select("response_id", "generated_at").orderBy(F.asc_nulls_last("generated_at"), "response_id").limit(500)
+
+
+@query("smp4_training_rows")
+def _(spark, sf):
+    return sampling.hash_sample(_t(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id", 200).select("vec_id")
+
+
+@query("vec11_heuristic_labels", rf"SELECT rec_no, -1 AS cluster_id, CASE WHEN n >= 200 OR m THEN 'hard' WHEN n <= 50 THEN 'easy' ELSE 'medium' END AS difficulty FROM (SELECT rec_no, len({_words('prompt')}) AS n, regexp_matches(coalesce(prompt, ''), '(?i){labels.MULTI_STEP}') AS m FROM prompts)")
+def _(spark, sf):
+    return _t(spark, sf, "prompts").select("rec_no", F.lit(-1).alias("cluster_id"), labels.difficulty(F.col("prompt")).alias("difficulty"))
+
+
+@query("extc_model_calls")
+def _(spark, sf):
+    p = relations.first_per_key(_t(spark, sf, "prompts").select("prompt_id", "prompt"), "prompt_id", ["prompt"])
+    out = external.call_model(p, "prompt_id", "prompt", external.echo_client)
+    return out.select("prompt_id", parse.split_thought(F.col("output")).alias("p")).select("prompt_id", "p.answer", "p.complete")
