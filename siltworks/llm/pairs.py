@@ -23,7 +23,7 @@ DEFECTS = ("empty", "truncated_trace", "refusal", "copied", "truncated", "other_
 
 # Words of each language that carry grammar rather than matter.
 FUNCTION_WORDS = {
-    "en": "a the of and is that for with to in was are this from by which than or their its has have had not be an it but as at on there you how what when",
+    "en": "a i the of and is that for with to in was are this from by which than or their its has have had not be an it but as at on there you how what when",
     "de": "der die das und ist nicht ein eine einen dem den des mit auf für von zu aber nach ohne unter zwischen wenn wie oder auch sich seit trotz laut gegen im am vor",
     "fr": "le la les et est une un dans pour des du que qui avec sur pas ce cette mais sans après entre selon sous malgré depuis au aux avant cet quand ne se",
     "es": "el la los las y es una un en para del que con por no su pero sin según entre tras bajo desde pese más al este esta antes cada cuando qué",
@@ -79,6 +79,7 @@ _REFUSAL = re.compile("|".join(f"(?:{p})" for p in REFUSALS))
 _FILLER = re.compile(FILLERS)
 _WORD = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])|\n+")
+_PROMPT_PART = re.compile(r"(?<=[.!?…:])\s+|(?<=[。！？])|\n+")
 _TERMINAL = ".!?。！？…)]}\"'»”’`|;）】」』"
 _ITEM = re.compile(r"(?m)^\s*(?:\d+[.)]|[-*•])(?:\s|$)")
 _LONE_ITEM = re.compile(r"(?:^|\n)\s*(?:\d+[.)]|[-*•])\s*$")
@@ -157,6 +158,8 @@ def votes(text: str) -> dict[str, float]:
         if ls := _BY_WORD.get(w):
             for l in ls:
                 out[l] = out.get(l, 0) + 1 / len(ls)
+        elif len(w) > 6 and w.endswith(("ee", "aa", "ää", "eä", "iä", "oa", "öä", "uu")):
+            out["fi"] = out.get("fi", 0) + 0.4
         elif len(w) > 5 and w.endswith(("ssa", "ssä", "sta", "stä", "lla", "llä", "uutta", "yttä", "taa", "tää", "nsa", "oaa", "ksen")):
             out["fi"] = out.get("fi", 0) + 0.5
     return out
@@ -170,6 +173,18 @@ def language_of(text: str) -> str | None:
     return v[0][0]
 
 
+def languages_in(prompt: str) -> set[str]:
+    """Every language that some sentence of a prompt may be in, on whatever evidence there is; where a sentence may be in
+    one or another, the one of which the whole prompt has more."""
+    out: set[str] = set()
+    whole = votes(prompt)
+    for s in _PROMPT_PART.split(prompt):
+        v = votes(s)
+        if v and (top := max(v.values())) >= 0.5:
+            out.add(max((l for l, n in v.items() if n >= 0.7 * top), key=lambda l: (whole.get(l, 0), l)))
+    return out
+
+
 def only_declines(text: str) -> bool:
     if len(text) > 400 or _FENCE in text:
         return False
@@ -256,8 +271,10 @@ def defects(prompt: str | None, response: str | None, reasoning: str | None, ans
         prose = _CODE.sub(" ", text)
         own = language_of(prose) if len(prose) > 12 else None
         if own:
-            asked = votes(prompt)
-            if asked.get(own, 0) < 1.5 and sum(asked.values()) >= 1 and not any(m.lastgroup == own for m in _NAMES.finditer(prompt.lower())):
+            written = languages_in(prompt)
+            # Without any evidence of the prompt's language, its script still tells.
+            other_script = not written and own in _SCRIPTS and len(prompt) > 12 and not _SCRIPTS[own].search(prompt)
+            if (other_script or written and own not in written) and not any(m.lastgroup == own for m in _NAMES.finditer(prompt.lower())):
                 out.append("other_language")
     return out
 
