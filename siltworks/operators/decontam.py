@@ -27,12 +27,14 @@ def short_items(items: DataFrame, owner: str, text: str, *, least: int = 5, comp
 
 def gram_hits(pool: DataFrame, key: str, text: str, grams: DataFrame, lengths: list[int], *, compat: bool = True) -> DataFrame:
     """(key, owner, gram): of each contaminated row the hit that comes first, shorter grams before longer ones, then by
-    place. The pool's grams are exploded and joined by equality; the planner broadcasts the index only if it is small."""
+    place. The pool's grams are exploded as two 64-bit hashes each and joined by equality of both, so no run of words is
+    ever shuffled; the planner broadcasts the index only if it is small."""
     t = pool.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), match_words(F.col(text), compat).alias("t"))
-    one = lambda n: F.transform(ngrams(F.col("t"), n), lambda g, i: F.struct(F.lit(n).alias("gram_len"), i.alias("pos"), g.alias("gram")))
-    all_grams = F.concat(*[one(n) for n in sorted(lengths)]) if lengths else F.array().cast("array<struct<gram_len:int,pos:int,gram:string>>")
+    hashes = lambda g: (F.xxhash64(g).alias("h1"), F.xxhash64(F.lit(7), g).alias("h2"))
+    one = lambda n: F.transform(ngrams(F.col("t"), n), lambda g, i: F.struct(F.lit(n).alias("gram_len"), i.alias("pos"), *hashes(g)))
+    all_grams = F.concat(*[one(n) for n in sorted(lengths)]) if lengths else F.array().cast("array<struct<gram_len:int,pos:int,h1:bigint,h2:bigint>>")
     rows = t.where(F.size("t") >= (min(lengths) if lengths else 0)).select("key", F.explode(all_grams).alias("g")).select("key", "g.*")
-    hits = rows.join(grams, ["gram", "gram_len"])
+    hits = rows.join(grams.select("*", *hashes(F.col("gram"))), ["h1", "h2", "gram_len"])
     return hits.groupBy("key").agg(F.min(F.struct("gram_len", "pos", "owner", "gram")).alias("h")).select(F.col("key").alias(key), F.col("h.owner").alias("owner"), F.col("h.gram").alias("gram"))
 
 
