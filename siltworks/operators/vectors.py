@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltworks.session import cut
+from siltworks.session import stored
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -77,11 +77,11 @@ def spherical_kmeans(df: DataFrame, id_col: str, vector: str, k: int, *, rounds:
     the k vectors with the lowest hash of their ids. A cluster that loses all members keeps its centre."""
     rows = df.where(F.col(vector).isNotNull())
     start = rows.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col).limit(k).select(F.row_number().over(Window.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col)).cast("long").alias("n"), unit(F.col(vector)).alias("centroid"))
-    centres = cut(start.select((F.col("n") - 1).alias("cluster"), "centroid"))
+    centres = stored(start.select((F.col("n") - 1).alias("cluster"), "centroid"))
     for r in range(rounds):
         near = nearest_centre(rows, id_col, vector, centres)
         new = centroids(rows.join(near.select(id_col, "cluster"), id_col), "cluster", vector)
-        both = cut(centres.join(new.withColumnRenamed("centroid", "moved"), "cluster", "left").select("cluster", "centroid", F.coalesce("moved", "centroid").alias("moved")))
+        both = stored(centres.join(new.withColumnRenamed("centroid", "moved"), "cluster", "left").select("cluster", "centroid", F.coalesce("moved", "centroid").alias("moved")))
         shift = both.agg(F.max(1 - dot(F.col("centroid"), F.col("moved")))).first()[0] or 0.0
         centres = both.select("cluster", F.col("moved").alias("centroid"))
         if shift < tolerance and r > 2:
