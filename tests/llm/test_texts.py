@@ -314,6 +314,21 @@ def test_clusters_find_the_groups(spark):
     assert sorted(tuple(r)[:2] for r in again.collect()) == sorted(tuple(r)[:2] for r in got.collect())
 
 
+def test_clusters_keep_a_hot_group_whole(spark):
+    # A third of the texts are variants of one, each with words of its own in one of its sentences.
+    rng = random.Random(3)
+    base = ["the amber valve of the mill turns seven grey wheels at noon", "a copper siphon beside the lock drains ninety shallow basins", "his wooden ledger lists every barge under the stone arch", "one narrow sluice feeds the lower pond before each harvest"]
+    rows = []
+    for v in range(120):
+        s = [x.split() for x in base]
+        for k in rng.sample(range(9), 2):
+            s[v % 4][k] = f"own{v}x{k}"
+        rows.append((f"h{v:03d}", ". ".join(" ".join(x) for x in s) + "."))
+    rows += [(f"s{i:03d}", ". ".join(" ".join(f"w{rng.randrange(4000)}" for _ in range(10)) for _ in range(4)) + ".") for i in range(240)]
+    got = clusters.similarity_clusters(spark.createDataFrame(rows, "prompt_id string, prompt string"), "prompt_id", "prompt").collect()
+    assert sorted((r["prompt_id"], r["cluster"]) for r in got) == [(f"h{v:03d}", "h000") for v in range(120)]
+
+
 def test_clusters_empty(spark):
     df = spark.createDataFrame([("a", None)], "prompt_id string, prompt string")
     assert clusters.similarity_clusters(df, "prompt_id", "prompt").count() == 0
