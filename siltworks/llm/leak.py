@@ -3,8 +3,9 @@
 Wu-Manber multi-pattern search over normalised text. The patterns are the runs of ``gram`` consecutive words of every test
 item (``short_gram`` for items that count only when whole). A shift table over blocks of three bytes skips impossible
 positions, a table of window hashes selects the patterns of a position, and comparing bytes confirms an occurrence. The
-scan runs many lanes of a batch at once in numpy. Items whose occurrences cover enough of them are then aligned word by
-word with the text, so that changed or added single words don't hide a passage.
+scan runs many lanes of a batch at once in numpy. Items with enough occurrences, and of which enough words stand in the
+text in order (a longest common subsequence by bits), are then aligned word by word with it, so that changed or added single
+words don't hide a passage. Both bounds lie under what an accepted passage has.
 
 The corpus is read once and never shuffled; only (id, item) rows are. The test items are a stated query set: they are
 collected and sent to the workers in blocks of ``block_items``, so a larger set means more passes and not more memory.
@@ -142,6 +143,26 @@ def leaks(n: int, span: int, matched: int, whole_words: int) -> bool:
     return 2 * span >= n and matched >= 0.75 * span
 
 
+def least_runs(n: int, gram: int) -> int:
+    """Of an item of n words, half of the least number of runs of ``gram`` words that a passage keeps where every fourth word
+    of it, the most that leaks() accepts, is changed; the other half is room for added words."""
+    return max(1, min(s - s // 4 - (gram - 1) * (s // 4 + 1) for s in range(-(-n // 2), n + 1)) // 2)
+
+
+def common_words(item: Sequence[str], text: Sequence[str]) -> int:
+    """The length of the longest common subsequence, which no passage's matched words exceed."""
+    at: dict[str, int] = defaultdict(int)
+    for i, w in enumerate(item):
+        at[w] |= 1 << i
+    full = (1 << len(item)) - 1
+    v = full
+    for w in text:
+        if w in at:
+            u = v & at[w]
+            v = (v + u | v - u) & full
+    return len(item) - v.bit_count()
+
+
 def _patterns(items: Sequence[Sequence[str]], gram: int, short_gram: int, whole_words: int) -> dict[bytes, list[tuple[int, int]]]:
     out: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
     for i, w in enumerate(items):
@@ -155,6 +176,7 @@ def _search(items: list[list[str]], ids: list[int], gram: int, short_gram: int,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         searcher = Searcher(_patterns(items, gram, short_gram, whole_words))
         size = [short_gram if len(w) <= whole_words else gram for w in items]
+        least = [least_runs(len(w), gram) if len(w) > whole_words else 0 for w in items]
         for b in batches:
             texts, keys = b["text"].tolist(), b["id"].tolist()
             rows = []
@@ -176,11 +198,15 @@ def _search(items: list[list[str]], ids: list[int], gram: int, short_gram: int,
                         found[d, item].append((w, k))
                 for (d, item), at in found.items():
                     n = len(items[item])
-                    covered = len({k + x for _, k in at for x in range(size[item])})
-                    if covered < (0.25 * n if n > whole_words else 0.5 * n):
+                    if n > whole_words:
+                        if len({k for _, k in at}) < least[item]:
+                            continue
+                    elif len({k + x for _, k in at for x in range(size[item])}) < 0.5 * n:
                         continue
                     lo_w = max(0, min(w - k for w, k in at) - 8)
                     hi_w = max(w + n - k for w, k in at) + 8
+                    if n > whole_words and common_words(items[item], words[d][lo_w:hi_w]) < 0.375 * n:
+                        continue
                     span, matched = passage(items[item], words[d][lo_w:hi_w])
                     if leaks(n, span, matched, whole_words):
                         rows.append((keys[lo + d], ids[item], matched / n))
@@ -189,7 +215,7 @@ def _search(items: list[list[str]], ids: list[int], gram: int, short_gram: int,
     return run
 
 
-def leaked(corpus: DataFrame, id_col: str, text_col: str, items: DataFrame, item_id: str, item_text: str, *, gram: int = 5, short_gram: int = 3, whole_words: int = 12, block_items: int = 5000) -> DataFrame:
+def leaked(corpus: DataFrame, id_col: str, text_col: str, items: DataFrame, item_id: str, item_text: str, *, gram: int = 3, short_gram: int = 3, whole_words: int = 12, block_items: int = 5000) -> DataFrame:
     """(id, item, share): the texts that contain an item, or a connected passage of at least half of its words; items of up
     to ``whole_words`` words count only when whole. share: the matched words by the item's words."""
     texts = corpus.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -109,6 +109,24 @@ def test_leaks(spark, text, hit):
     assert [tuple(r)[:2] for r in leak.leaked(corpus, "prompt_id", "prompt", items, "item_id", "question").collect()] == ([("a", 7)] if hit else [])
 
 
+def test_leaks_half_an_item_with_every_fifth_word_changed(spark):
+    item = [f"word{i}" for i in range(41)]
+    half = [f"other{i}" if i % 5 == 3 else w for i, w in enumerate(item[10:31])]
+    corpus = spark.createDataFrame([("a", "Please say " + " ".join(half) + " now."), ("b", "Please say " + " ".join(item[10:25]) + " now.")], "prompt_id string, prompt string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, question string")
+    assert [r[0] for r in leak.leaked(corpus, "prompt_id", "prompt", items, "item_id", "question").collect()] == ["a"]
+
+
+def test_common_words_bound_a_passage():
+    rng = random.Random(5)
+    for _ in range(200):
+        a, b = (rng.choices("abcdef", k=rng.randint(1, 20)) for _ in range(2))
+        d = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            d[i + 1][j + 1] = d[i][j] + 1 if a[i] == b[j] else max(d[i][j + 1], d[i + 1][j])
+        assert leak.common_words(a, b) == d[-1][-1] >= leak.passage(a, b)[1]
+
+
 def test_leaks_short_items_only_whole(spark):
     items = spark.createDataFrame([(1, "Can Xemar outlast a linear harbour and market?")], "item_id long, question string")
     corpus = spark.createDataFrame([("a", "so: can xemar outlast a linear harbour and market"), ("b", "can xemar outlast a linear"), ("c", LONG)], "prompt_id string, prompt string")
