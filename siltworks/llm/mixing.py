@@ -10,7 +10,8 @@ numbers a step) where they are needed, so no state has to survive on a worker.
 Rates become whole numbers of copies: the whole part, and for the rest, documents of a source in descending size, in groups
 of at most about ``group_rows``, each carrying to the next what it takes too much or too little.
 
-The total defaults to the greatest at which every source can reach its share under its cap. The classifier is a multinomial
+The total defaults to the greatest at which every source that has documents and may be used can reach its share under its
+cap; a source that can't serve any share doesn't count, and is reported as exhausted with a share of 0. The classifier is a multinomial
 one over hashed words, fitted on the driver on the ``fit_rows`` labelled documents with the lowest hash of their id. An
 unlabelled document whose best posterior is below ``least_posterior`` can't be told to be of any source and gets rate 0.
 
@@ -114,7 +115,8 @@ def whole_copies(rates: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, targets: DataFrame, *, total_tokens: float | None = None, vocabulary: str = tokens.VOCABULARY, fit_rows: int = 3000, least_posterior: float = 0.5, group_rows: int = 20_000, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(mixture, report). mixture: (id, source, tokens, copies) of the documents taken at least once, source being the one
-    that they count for. report: the targets with the tokens there are, the tokens taken and the share reached."""
+    that they count for. report: the targets with the tokens there are, the tokens taken, the share
+    reached and whether the source is exhausted: its tokens times its cap are fewer than its share of the total."""
     spark = docs.sparkSession
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(source_col).cast("string").alias("source"))
     goals = [r.asDict() for r in targets.select("source", "target_share", "max_repeats").where("source is not null and target_share > 0").orderBy("source").collect()]
@@ -163,7 +165,7 @@ def mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, targets: D
     reach, most = np.zeros(k), np.zeros(k)
     for r in reach_rows:
         reach[r["i"]], most[r["i"]] = r["t"], r["most"]
-    total = float(total_tokens) if total_tokens is not None else float((most / share).min()) if k else 0.0
+    total = float(total_tokens) if total_tokens is not None else float((most / share)[most > 0].min()) if (most > 0).any() else 0.0
     steps = fit_rates(table, share * total, reach) if k and total > 0 else []
 
     def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -193,4 +195,6 @@ def mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, targets: D
     joined = goal.join(there, "source", "left").join(taken, "source", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("available_tokens", "taken_tokens", "repeats")})
     all_taken = taken.agg(F.sum("taken_tokens").alias("all_tokens"))
     report = joined.crossJoin(all_taken).withColumn("share", F.coalesce(F.col("taken_tokens") / F.col("all_tokens"), F.lit(0.0))).drop("all_tokens")
+    lacking = [n for i, n in enumerate(names) if most[i] < share[i] * total * (1 - 1e-9) or not most[i]]
+    report = report.withColumn("exhausted", F.col("source").isin(lacking))
     return mixture, report

@@ -159,6 +159,14 @@ def test_mixture_beyond_the_caps_reports_what_it_reached(spark):
     assert rows["a"]["taken_tokens"] == rows["a"]["available_tokens"] and rows["b"]["taken_tokens"] == 2 * rows["b"]["available_tokens"] and rows["gone"]["share"] == 0
 
 
+def test_mixture_does_without_a_source_that_serves_nothing(spark):
+    t = spark.createDataFrame([("a", 0.6, 1), ("b", 0.2, 3), ("c", 0.1, 0), ("gone", 0.1, 2)], "source string, target_share double, max_repeats int")
+    m, report = mixing.mix(docs(spark), "doc_id", "text", "source", t)
+    rows = {r["source"]: r for r in report.collect()}
+    assert m.count() > 0 and abs(rows["a"]["share"] - 0.75) < 0.01 and abs(rows["b"]["share"] - 0.25) < 0.01
+    assert {s for s, r in rows.items() if r["exhausted"]} == {"c", "gone"} and rows["c"]["share"] == rows["gone"]["share"] == 0
+
+
 def test_mixture_empty(spark):
     t = spark.createDataFrame([("a", 0.5, 1)], "source string, target_share double, max_repeats int")
     m, report = mixing.mix(docs(spark).limit(0), "doc_id", "text", "source", t)
