@@ -541,7 +541,10 @@ def train(rows: DataFrame, *, pool_rows: int, fit_sentences: int, seed: int) ->
     model = fit_label_model(_votes(patterns["pattern"].to_numpy(np.int64)), patterns["n"].to_numpy())
     parts = []
     for kind, most in ((-1, fit_sentences), (-2, 2 * fit_sentences)):
-        p = seen.where(F.col("pattern") == kind).select("n", "sentence").distinct().orderBy("n", "sentence").limit(most).toPandas()
+        kept = seen.where(F.col("pattern") == kind).select("n", "sentence").distinct()
+        # The order is a hash of 63 bits, so a threshold keeps about as many rows as are wanted, however many tasks there are.
+        least = (1.2 * most + 5 * most**0.5) / max(kept.count(), 1)
+        p = kept.where(F.col("n") <= min((1 << 63) - 1, int(least * (1 << 63)))).orderBy("n", "sentence").limit(most).toPandas()
         parts.append(pd.DataFrame({"voted": kind == -1, "ord": p["n"], "sentence": p["sentence"]}))
     return model, fit_on_sentences(model, _draw(pd.concat(parts, ignore_index=True), fit_sentences))
 
