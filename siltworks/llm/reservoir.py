@@ -33,13 +33,25 @@ def slots_for(k: int) -> int:
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    """A hypergeometric draw; beyond numpy's range of 1e9 by its normal limit, rounded and kept within bounds."""
-    if good + bad < 1_000_000_000:
-        return int(rng.hypergeometric(good, bad, draws)) if draws and good + bad else 0
+    """A hypergeometric draw for counts of any size, by inversion.
+
+    The probabilities come from the ratios of neighbouring values, outwards from the mode to 12 standard deviations and 100
+    more, beyond which they are under 1e-30, and are scaled by their sum, so no approximation by another distribution and no
+    logarithm of a factorial enters.
+    """
+    lo, hi = max(0, draws - bad), min(good, draws)
+    if lo >= hi:
+        return lo
     n = good + bad
     p = good / n
-    sd = (draws * p * (1 - p) * (n - draws) / (n - 1)) ** 0.5
-    return int(min(max(round(rng.normal(draws * p, sd)), draws - bad, 0), draws, good))
+    half = int(12 * (draws * p * (1 - p) * (n - draws) / max(n - 1, 1)) ** 0.5) + 100
+    mode = min(max((draws + 1) * (good + 1) // (n + 2), lo), hi)
+    lo, hi = max(lo, mode - half), min(hi, mode + half)
+    x = np.arange(lo, hi, dtype=np.float64)
+    step = np.log(good - x) + np.log(draws - x) - np.log(x + 1) - np.log(bad - draws + x + 1)
+    log_p = np.concatenate(([0.0], np.cumsum(step)))
+    total = np.cumsum(np.exp(log_p - log_p.max()))
+    return lo + min(int(np.searchsorted(total, rng.random() * total[-1], side="right")), hi - lo)
 
 
 def split(rng: np.random.Generator, parts: np.ndarray, draws: int) -> np.ndarray:
@@ -90,9 +102,26 @@ def _slot(id_col: str, slots: int, seed: int):
 
 
 def _drawn(ids: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    """Of each batch and slot, the planned number of ids, drawn uniformly."""
-    w = Window.partitionBy("batch", "slot").orderBy(F.xxhash64(F.lit(seed + 1), "id"), "id")
-    return ids.join(plan.where("inserted > 0"), ["batch", "slot"]).withColumn("r", F.row_number().over(w)).where("r <= inserted").select("slot", "batch", "id")
+    """Of each batch and slot, the planned number of ids, drawn uniformly: those of the lowest hashes.
+
+    A bound on the hash, which the wanted ids are under but for a chance of less than 1e-15, comes before the sort, so that
+    a task sorts about as many rows as are wanted of its slot, however many ids a batch brings.
+    """
+    share = (F.col("inserted") + 10 * F.sqrt("inserted") + 100) / F.col("arrived")
+    h = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(1 << 52))
+    w = Window.partitionBy("batch", "slot").orderBy("h", "id")
+    few = ids.join(plan.where("inserted > 0"), ["batch", "slot"]).withColumn("h", h).where(F.col("h") <= share * float(1 << 52))
+    return few.withColumn("r", F.row_number().over(w)).where("r <= inserted").select("slot", "batch", "id")
+
+
+def _batches(shards: DataFrame, max_batches: int) -> DataFrame:
+    """(shard, batch) of shards (shard, first) in the order of their first rows. Up to ``max_batches`` shards are batches of
+    their own; of more, neighbours by quantiles of their first rows arrive together."""
+    if shards.count() <= max_batches:
+        return shards.select("shard", (F.row_number().over(Window.orderBy("first", "shard")) - 1).alias("batch"))
+    bounds = shards.agg(F.percentile_approx("first", [i / max_batches for i in range(1, max_batches)], 100 * max_batches)).first()[0]
+    known = F.array(*[F.lit(int(x)) for x in sorted(set(bounds))])
+    return shards.select("shard", F.size(F.filter(known, lambda x: x < F.col("first"))).alias("batch"))
 
 
 def reservoir_sample(df: DataFrame, id_col: str, order_col: str, shard_col: str, *, k: int, seed: int = 42, max_batches: int = 256, slots: int | None = None) -> DataFrame:
@@ -103,11 +132,8 @@ def reservoir_sample(df: DataFrame, id_col: str, order_col: str, shard_col: str,
     """
     spark, slots = df.sparkSession, slots or slots_for(k)
     rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(order_col).cast("long"), F.lit(_LAST)).alias("at"), F.coalesce(F.col(shard_col).cast("string"), F.lit("")).alias("shard"))
-    # One row per shard, so the windows over all of them are small.
-    shards = rows.groupBy("shard").agg(F.min("at").alias("first"))
-    place = F.row_number().over(Window.orderBy("first", "shard")) - 1
-    n_shards = F.count("*").over(Window.partitionBy())
-    batch_of = shards.select("shard", F.when(n_shards > max_batches, F.floor(place * max_batches / n_shards)).otherwise(place).cast("int").alias("batch"))
+    shards = stored(rows.groupBy("shard").agg(F.min("at").alias("first")))
+    batch_of = _batches(shards, max_batches)
     first = rows.groupBy("id").agg(F.min(F.struct("at", "shard")).alias("f")).select("id", F.col("f.shard").alias("shard"))
     ids = stored(first.join(batch_of, "shard").select("id", "batch", _slot("id", slots, seed).alias("slot")))
     counted = ids.groupBy("batch", "slot").count().collect()
@@ -119,10 +145,10 @@ def reservoir_sample(df: DataFrame, id_col: str, order_col: str, shard_col: str,
     for b in sorted(by_batch):
         plan.arrive(b, by_batch[b])
         inserted, evicted = plan.steps[-1]
-        rows_of_plan += [(b, s, int(inserted[s])) for s in range(slots)]
+        rows_of_plan += [(b, s, int(inserted[s]), int(by_batch[b][s])) for s in range(slots)]
         for s in np.flatnonzero(evicted).tolist():
             evictions.setdefault(s, {})[b] = int(evicted[s])
-    candidates = _drawn(ids, spark.createDataFrame(rows_of_plan, "batch int, slot int, inserted long"), seed)
+    candidates = _drawn(ids, spark.createDataFrame(rows_of_plan, "batch int, slot int, inserted long, arrived long"), seed)
     id_type = ids.schema["id"].dataType.simpleString()
 
     def settle(g: pd.DataFrame) -> pd.DataFrame:
@@ -136,6 +162,9 @@ def reservoir_sample(df: DataFrame, id_col: str, order_col: str, shard_col: str,
 class ReservoirStream:
     """The same reservoir kept in a shared folder and fed batch by batch, as by ``foreachBatch``.
 
+    Every batch is joined with the ids seen before, since an id that comes again must not have a second chance. The numbers of
+    the last 1,000 batches are kept, so that a redone one is skipped; an older one would bring only ids seen before.
+
     ``state``: versions of the held ids and of the ids seen so far, written before the counts that name them, so that a
     batch that broke off is redone from the version before it.
     """
@@ -174,7 +203,7 @@ class ReservoirStream:
         plan = Plan(self.k, self.slots, self.seed, m["held"], m["seen"])
         plan.arrive(v + 1, counts)
         inserted, evicted = plan.steps[0]
-        new = _drawn(ids, spark.createDataFrame([(v + 1, s, int(n)) for s, n in enumerate(inserted)], "batch int, slot int, inserted long"), self.seed).select("slot", "id")
+        new = _drawn(ids, spark.createDataFrame([(v + 1, s, int(n), int(c)) for s, (n, c) in enumerate(zip(inserted, counts, strict=True))], "batch int, slot int, inserted long, arrived long"), self.seed).select("slot", "id")
         if v:
             out = spark.createDataFrame([(s, int(n)) for s, n in enumerate(evicted)], "slot int, evicted long")
             w = Window.partitionBy("slot").orderBy(F.xxhash64(F.lit(self.seed + v + 2), "id"), "id")

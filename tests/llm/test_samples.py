@@ -180,3 +180,48 @@ def test_whole_copies_keep_up_with_the_rates(rates):
     rates, sizes = np.array(rates), np.arange(len(rates), 0, -1) * 10
     got = mixing.whole_copies(rates, sizes)
     assert abs((got * sizes).sum() - (rates * sizes).sum()) <= 20 and (got >= np.floor(rates)).all() and (got <= np.ceil(rates)).all()
+
+
+def exact_pmf(good, bad, draws, upto):
+    """P(0..upto) of the hypergeometric distribution in exact fractions."""
+    from fractions import Fraction
+
+    p = Fraction(1)
+    for i in range(draws):
+        p *= Fraction(bad - i, good + bad - i)
+    out = [p]
+    for x in range(upto):
+        out.append(out[-1] * Fraction((good - x) * (draws - x), (x + 1) * (bad - draws + x + 1)))
+    return [float(x) for x in out]
+
+
+@pytest.mark.parametrize("good,bad,draws", [(50_000, 2 * 10**9, 1000), (3, 5 * 10**9, 200), (500_000, 10**9 - 500_001, 800), (40, 60, 25), (4 * 10**9, 6 * 10**9, 9)])
+def test_hypergeometric_is_exact_at_every_size(good, bad, draws):
+    rng, n = np.random.default_rng(8), 20_000
+    got = np.bincount([reservoir.hypergeometric(rng, good, bad, draws) for _ in range(n)], minlength=60)
+    want = np.array(exact_pmf(good, bad, draws, min(draws, good, 40)))
+    want = np.append(want, max(0.0, 1 - want.sum())) * n
+    seen = np.append(got[: len(want) - 1], got[len(want) - 1 :].sum())
+    use = want >= 5
+    chi = ((seen[use] - want[use]) ** 2 / want[use]).sum() + (seen[~use].sum() - want[~use].sum()) ** 2 / max(want[~use].sum(), 5)
+    assert chi < use.sum() + 5 * (2 * use.sum()) ** 0.5 + 5
+
+
+def test_hypergeometric_of_large_draws_has_the_right_moments():
+    rng, (good, bad, draws) = np.random.default_rng(2), (10**11, 3 * 10**11, 10**8)
+    x = np.array([reservoir.hypergeometric(rng, good, bad, draws) for _ in range(300)], float)
+    mean, sd = draws * 0.25, (draws * 0.25 * 0.75) ** 0.5
+    assert abs(x.mean() - mean) < 5 * sd / 300**0.5 and 0.8 < x.std() / sd < 1.2
+    assert reservoir.hypergeometric(rng, 5, 0, 3) == 3 and reservoir.hypergeometric(rng, 0, 5, 3) == 0 and reservoir.hypergeometric(rng, 5, 5, 0) == 0
+
+
+def test_reservoir_with_more_shards_than_batches(spark):
+    rows = [(f"p{i}", i, f"s{i // 3:03d}") for i in range(300)]
+    df = spark.createDataFrame(rows, ROWS)
+    taken = np.zeros(300)
+    for seed in range(12):
+        s = sample(df, 60, seed=seed, max_batches=8)
+        assert len(set(s)) == 60
+        taken[[int(x[1:]) for x in s]] += 1
+    # Early and late arrivals have the same chance.
+    assert abs(taken[:150].sum() - taken[150:].sum()) < 5 * (12 * 60 * 0.25) ** 0.5 * 2
