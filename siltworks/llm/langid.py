@@ -12,7 +12,8 @@ whole texts. A second fit leaves out segments that the first one contradicts, si
 row by row in one pass; no text is shuffled.
 
 Nulls: a null id or text is left out. A text without a sentence (three words, or four characters of a script without
-spaces) has no segment and no language. Repeated rows give the same rows, once each. Empty tables give empty results; where
+spaces) is one segment as a whole; one without any letter has no language. Every language that some label of the sample
+names is in the model, however rare, unless the first fit contradicts all of its segments. Repeated rows give the same rows, once each. Empty tables give empty results; where
 no row is labelled, nothing can be learned and the result is empty.
 """
 
@@ -73,7 +74,8 @@ def language_code(label: str | None) -> str | None:
 
 
 def segments(text: str) -> list[tuple[int, str]]:
-    """(place in the text, sentence) of the sentences and instructions; code and short quotations are left out."""
+    """(place in the text, sentence) of the sentences and instructions; code and short quotations are left out, unless there
+    is nothing else."""
     blank = lambda m: " " * len(m[0])
     t = _PROSE.sub(blank, text)
     t = _QUOTED.sub(lambda m: m[0] if len(_WORD.findall(m[0])) > 6 and m[0][-2] in ".!?" or len(_CJK.findall(m[0])) > 12 or len(m[0]) > 0.6 * len(text) else blank(m), t)
@@ -84,6 +86,11 @@ def segments(text: str) -> list[tuple[int, str]]:
         if len(_WORD.findall(s)) >= 3 or len(_CJK.findall(s)) >= 4:
             out.append((lo + len(s) - len(s.lstrip()), s.strip()))
         lo = m.end() if m else hi
+    if not out:
+        # No sentence: what there is counts as one, so that every text with a letter has a language.
+        whole = t if any(c.isalpha() for c in t) else text
+        if any(c.isalpha() for c in whole):
+            out.append((len(whole) - len(whole.lstrip()), whole.strip()))
     return out
 
 
@@ -143,11 +150,11 @@ def _dense(texts: Sequence[str]) -> np.ndarray:
 
 def fit(texts: Sequence[str], labels: Sequence[str], *, landmarks: int = 700, ridge: float = 1e-3, seed: int = 42) -> Model:
     """Nyström kernel ridge regression on labelled segments, rarer languages weighted up. Deterministic."""
-    names = tuple(sorted(l for l in set(labels) if labels.count(l) >= 5)) if isinstance(labels, list) else tuple(sorted(set(labels)))
+    names = tuple(sorted(set(labels)))
     if not names:
         return Model((), np.zeros((DIMS, 0), np.float32))
     rng = np.random.default_rng(seed)
-    y = np.array([names.index(l) if l in names else -1 for l in labels])
+    y = np.array([names.index(l) for l in labels])
     # Half of the landmarks in equal parts from every language, half as the segments come, for the varied large ones.
     each = max(4, landmarks // (2 * len(names)))
     marks = np.unique(np.concatenate([rng.permutation(np.flatnonzero(y == k))[:each] for k in range(len(names))] + [rng.permutation(np.flatnonzero(y >= 0))[: landmarks // 2]]))

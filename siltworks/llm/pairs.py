@@ -45,10 +45,12 @@ LANGUAGE_NAMES = {
 }
 # Texts that only stand in for an answer.
 STAND_INS = frozenset(
-    "todo tbd tba fixme n/a na null nil nan undefined answer response output result placeholder empty blank pending xxx xx ??? lorem ipsum;"
-    "your answer here;answer here;insert answer here;insert answer;no answer;no response;to be done;to do;coming soon;answer goes here;"
-    "final answer;write answer here;fill in;to be filled;not available;text here;none given".replace(";", "|").replace(" n/a ", "|n/a|").split("|")
-) | frozenset("todo tbd tba fixme n/a na null nil nan undefined answer response output result placeholder empty blank pending xxx xx".split())
+    x.strip()
+    for x in (
+        "todo, tbd, tba, fixme, n/a, na, null, nil, nan, undefined, answer, response, output, result, placeholder, empty, blank, pending, xxx, xx, ???, lorem ipsum, your answer here, answer here, insert answer here, "
+        "insert answer, no answer, no response, to be done, to do, coming soon, answer goes here, final answer, write answer here, fill in, to be filled, not available, text here, none given"
+    ).split(",")
+)
 
 # What a sentence that only declines looks like, by language.
 REFUSALS = (
@@ -186,7 +188,7 @@ def languages_in(prompt: str) -> set[str]:
 
 
 def only_declines(text: str) -> bool:
-    if len(text) > 400 or _FENCE in text:
+    if _FENCE in text:
         return False
     low = re.sub(r"\s+", " ", text.lower().replace("\u2019", "'"))
     said = False
@@ -210,7 +212,7 @@ def _covered(a: list[str], b: set[tuple[str, ...]], n: int) -> float:
 
 def gives_back(prompt: str, text: str) -> bool:
     """The text is the prompt or most of it, apart from slight changes."""
-    text = _LEAD_IN.sub("", text.lstrip("> \"'*\n")) if len(text) < 4 * len(prompt) + 200 else ""
+    text = _LEAD_IN.sub("", text.lstrip("> \"'*\n"))
     if not text or not prompt:
         return False
     a, p = _WORD.findall(unicodedata.normalize("NFKC", text).lower()), _WORD.findall(unicodedata.normalize("NFKC", prompt).lower())
@@ -269,11 +271,11 @@ def defects(prompt: str | None, response: str | None, reasoning: str | None, ans
         out.append("truncated")
     if prompt:
         prose = _CODE.sub(" ", text)
-        own = language_of(prose) if len(prose) > 12 else None
+        own = language_of(prose)
         if own:
             written = languages_in(prompt)
             # Without any evidence of the prompt's language, its script still tells.
-            other_script = not written and own in _SCRIPTS and len(prompt) > 12 and not _SCRIPTS[own].search(prompt)
+            other_script = not written and own in _SCRIPTS and any(c.isalpha() for c in prompt) and not _SCRIPTS[own].search(prompt)
             if (other_script or written and own not in written) and not any(m.lastgroup == own for m in _NAMES.finditer(prompt.lower())):
                 out.append("other_language")
     return out
@@ -286,7 +288,7 @@ def _flag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for d in defects(p, r, g, a):
                 ids.append(i)
                 found.append(d)
-        yield pd.DataFrame({"response_id": pd.Series(ids, dtype="int64"), "rank": pd.Series([DEFECTS.index(d) for d in found], dtype="int32"), "defect": pd.Series(["truncated" if d == "truncated_trace" else d for d in found], dtype="object")})
+        yield pd.DataFrame({"response_id": pd.Series(ids, dtype="int64"), "rank": pd.Series([DEFECTS.index(d) for d in found], dtype="int32"), "defect": pd.Series(found, dtype="object")})
 
 
 def broken_pairs(responses: DataFrame) -> DataFrame:
@@ -297,5 +299,6 @@ def broken_pairs(responses: DataFrame) -> DataFrame:
 
 
 def primary_defects(responses: DataFrame) -> DataFrame:
-    """(response_id, defect): of each defective response the defect whose rule comes first."""
-    return broken_pairs(responses).groupBy("response_id").agg(F.min_by("defect", "rank").alias("defect"))
+    """(response_id, defect): of each defective response the defect whose rule comes first; an open trace is ``truncated``."""
+    first = broken_pairs(responses).groupBy("response_id").agg(F.min_by("defect", "rank").alias("defect"))
+    return first.withColumn("defect", F.when(F.col("defect") == "truncated_trace", "truncated").otherwise(F.col("defect")))

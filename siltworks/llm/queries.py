@@ -42,6 +42,12 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.primary_defects(spread(r))
 
 
+def p2_defects(spark: SparkSession, sf: str) -> DataFrame:
+    """(response_id, rank, defect): every defect that a response triggers, in the order of the rules."""
+    r = _table(spark, sf, "responses").select("response_id", "prompt", "response", "reasoning", "answer")
+    return pairs.broken_pairs(spread(r))
+
+
 def p2_by_teacher(spark: SparkSession, sf: str) -> DataFrame:
     """Defects of each kind by teacher model."""
     r = _table(spark, sf, "responses")
