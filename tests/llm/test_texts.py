@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,17 +168,31 @@ def test_repetition_matches_brute_force():
     for _ in range(60):
         parts = ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(rng.randint(0, 60))]
         texts.append(" ".join(parts + parts[: rng.randint(0, len(parts))]))
-    _, share = repetition.measure(texts)
+    share = repetition.exact_shares(texts)
     for t, s in zip(texts, share, strict=True):
         assert math.isclose(s, brute_share(t), abs_tol=1e-9)
 
 
 def test_repetition_ignores_case_punctuation_and_numbering():
     text = "1. The pump drives the wheel.\n2. the pump, drives the wheel!\n3. THE PUMP DRIVES THE WHEEL"
-    assert repetition.measure([text])[1][0] == pytest.approx(10 / 15)
-    assert repetition.measure(["wait, " * 50])[1][0] > 0.9
-    assert repetition.measure(["水泵保护着原因和结果。" * 6])[1][0] > 0.7
-    assert repetition.measure([""])[1][0] == 0
+    assert repetition.exact_shares([text])[0] == pytest.approx(10 / 15)
+    assert repetition.exact_shares(["wait, " * 50])[0] > 0.9
+    assert repetition.exact_shares(["水泵保护着原因和结果。" * 6])[0] > 0.7
+    assert repetition.exact_shares([""])[0] == 0
+
+
+def test_trees_decide_and_few_texts_are_measured(monkeypatch):
+    """Ablation: the trees alone, with the band, and the exact measure of everything agree on the tables' responses."""
+    d = pd.read_parquet("/root/testdata/sf0.01/responses.parquet", columns=["response", "reasoning"])
+    texts = [t for c in d for t in d[c] if isinstance(t, str)]
+    forest = repetition.fit_scorer(texts[:600])
+    exact = repetition.exact_shares(texts) >= 0.35
+    measured, whole = [], repetition.exact_shares
+    monkeypatch.setattr(repetition, "exact_shares", lambda t: measured.extend(t) or whole(t))
+    estimate, share = repetition.decide(forest, texts, 0.35, 0.2)
+    assert exact.sum() > 30 and ((estimate >= 0.35) == exact).mean() >= 0.995
+    assert ((share >= 0.35) == exact).mean() >= 0.999
+    assert len(measured) <= 0.05 * len(texts)
 
 
 def test_repetitive_table(spark):
