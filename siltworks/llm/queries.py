@@ -108,6 +108,11 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.cluster_pairs(_clusters(spark, sf), "prompt_id")
 
 
+def p5_members(spark: SparkSession, sf: str) -> DataFrame:
+    """(prompt_id, cluster, strength): a row for each prompt of a group with its group and how firmly it belongs to it."""
+    return _clusters(spark, sf).withColumn("strength", F.round("strength", 4))
+
+
 def p5_clusters(spark: SparkSession, sf: str) -> DataFrame:
     """Each group with its size and its most typical prompts."""
     return clusters.cluster_summary(_clusters(spark, sf), "prompt_id")
@@ -140,9 +145,9 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
     return packing.fill_rates(_packed(spark, sf), _table(spark, sf, "pack_plan"), "plan_name", "capacity").withColumn("fill", F.round("fill", 6))
 
 
-def _mixed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _mixed(spark: SparkSession, sf: str, **options: object) -> tuple[DataFrame, DataFrame]:
     d = spread(_table(spark, sf, "documents").select("doc_id", "text", "source"))
-    return mixing.mix(d, "doc_id", "text", "source", _table(spark, sf, "mix_targets"))
+    return mixing.mix(d, "doc_id", "text", "source", _table(spark, sf, "mix_targets"), **options)
 
 
 def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
@@ -155,6 +160,16 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return _mixed(spark, sf)[1].withColumn("share", F.round("share", 6))
 
 
+def p9_full_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents of a mixture as large as all listed sources, where scarce sources are repeated up to their caps."""
+    return _mixed(spark, sf, total_tokens="all")[0]
+
+
+def p9_full_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Of that mixture, the target share of each source, the share really reached and whether it is exhausted."""
+    return _mixed(spark, sf, total_tokens="all")[1].withColumn("share", F.round("share", 6))
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id): the documents with abusive, hateful or sexually explicit language."""
     d = _table(spark, sf, "documents").select("doc_id", "text")
