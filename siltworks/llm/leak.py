@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -111,6 +112,33 @@ class Searcher:
         return out
 
 
+#: Patterns of fewer bytes have a search of their own, since the shortest pattern bounds the shifts of all.
+TINY = 6
+
+
+class Search:
+    """Searchers of the tiny and of the other patterns as one."""
+
+    def __init__(self, patterns: dict[bytes, list[tuple[int, int]]]):
+        parts = [{p: o for p, o in patterns.items() if (len(p) < TINY) == tiny} for tiny in (False, True)]
+        self.searchers = [Searcher(x) for x in parts if x]
+
+    def find(self, text: bytes) -> list[tuple[int, list[tuple[int, int]]]]:
+        """(position, owners) of every occurrence."""
+        return [(at, s.owners[i]) for s in self.searchers for at, i in s.find(text)]
+
+
+_built: dict[str, Search] = {}
+
+
+def _search_of(token: str, items: list[list[str]], gram: int, short_gram: int, whole_words: int) -> Search:
+    """The tables of a block of items, built once in a worker's life."""
+    if token not in _built:
+        _built.clear()
+        _built[token] = Search(_patterns(items, gram, short_gram, whole_words))
+    return _built[token]
+
+
 def passage(item: Sequence[str], text: Sequence[str]) -> tuple[int, int]:
     """(words of the item spanned, words of it matched) by the best connected passage: a local alignment of words in which
     a match counts 1 and a changed, added or left out word -1."""
@@ -172,9 +200,11 @@ def _patterns(items: Sequence[Sequence[str]], gram: int, short_gram: int, whole_
     return out
 
 
-def _search(items: list[list[str]], ids: list[int], gram: int, short_gram: int, whole_words: int):
+def _search(items: list[list[str]], ids: list, gram: int, short_gram: int, whole_words: int):
+    token = uuid.uuid4().hex
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        searcher = Searcher(_patterns(items, gram, short_gram, whole_words))
+        searcher = _search_of(token, items, gram, short_gram, whole_words)
         size = [short_gram if len(w) <= whole_words else gram for w in items]
         least = [least_runs(len(w), gram) if len(w) > whole_words else 0 for w in items]
         for b in batches:
@@ -193,8 +223,8 @@ def _search(items: list[list[str]], ids: list[int], gram: int, short_gram: int,
                 blanks = np.concatenate(([0], np.cumsum(np.frombuffer(joined, np.uint8) == 32)))
                 word = blanks[pos] - blanks[offsets[doc]]
                 found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-                for d, w, (_, i) in zip(doc.tolist(), word.tolist(), hits, strict=True):
-                    for item, k in searcher.owners[i]:
+                for d, w, (_, owners) in zip(doc.tolist(), word.tolist(), hits, strict=True):
+                    for item, k in owners:
                         found[d, item].append((w, k))
                 for (d, item), at in found.items():
                     n = len(items[item])
@@ -210,7 +240,7 @@ def _search(items: list[list[str]], ids: list[int], gram: int, short_gram: int,
                     span, matched = passage(items[item], words[d][lo_w:hi_w])
                     if leaks(n, span, matched, whole_words):
                         rows.append((keys[lo + d], ids[item], matched / n))
-            yield pd.DataFrame(rows, columns=["id", "item", "share"]).astype({"item": "int64", "share": "float64"})
+            yield pd.DataFrame(rows, columns=["id", "item", "share"]).astype({"share": "float64"})
 
     return run
 
@@ -220,8 +250,8 @@ def leaked(corpus: DataFrame, id_col: str, text_col: str, items: DataFrame, item
     to ``whole_words`` words count only when whole. share: the matched words by the item's words."""
     texts = corpus.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = texts.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, item long, share double"
-    wanted = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text")).distinct()
+    schema = f"id {id_type}, item {items.schema[item_id].dataType.simpleString()}, share double"
+    wanted = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).distinct()
     passes, block = [], []
 
     def add() -> None:
