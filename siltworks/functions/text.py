@@ -6,7 +6,7 @@ import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Every character that separates words, in Java's regular expressions: the ASCII set and all Unicode separators.
@@ -36,6 +36,14 @@ def nfkc(c: Column) -> Column:
     return F.pandas_udf(_nfkc, "string")(c)
 
 
+def with_normal_form(df: DataFrame, column: str, compat: bool = True) -> DataFrame:
+    """df with the column in compatibility normal form; only rows with other than ASCII characters go through Python."""
+    if not compat:
+        return df
+    plain = F.coalesce(~F.col(column).rlike(r"[^\x00-\x7F]"), F.lit(True))
+    return df.where(plain).unionByName(df.where(~plain).withColumn(column, nfkc(F.col(column))))
+
+
 def collapse(c: Column) -> Column:
     """Runs of blanks become one space, none are left at the ends."""
     return F.btrim(F.regexp_replace(c, f"{BLANK}+", " "))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions import labels, scores, text
-from siltworks.operators import decontam, external, filters, parse, relations, sampling, stats, vectors
+from siltworks.operators import decontam, external, filters, parse, relations, sampling, state, stats, vectors
 from siltworks.session import spread
 from siltworks.sources import files
 
@@ -77,7 +77,8 @@ def _(spark, sf):
 
 @query("nrm1_normalise")
 def _(spark, sf):
-    return spread(_t(spark, sf, "prompts").select("rec_no", "prompt")).select("rec_no", text.normalise(F.col("prompt")).alias("text"))
+    p = text.with_normal_form(spread(_t(spark, sf, "prompts").select("rec_no", "prompt")), "prompt")
+    return p.select("rec_no", text.collapse(F.col("prompt")).alias("text"))
 
 
 @query("nrm2_match_words", f"SELECT item_id, len(t) AS n_words, array_to_string(t, ' ') AS words FROM (SELECT item_id, {_match('question')} AS t FROM eval_items)")
@@ -202,6 +203,54 @@ def _(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", "source").join(_t(spark, sf, "mix_targets").select("source"), "source", "left_semi").select("doc_id")
 
 
+_EVENTS_SQL = "(SELECT stage, 'started' AS status, min(rec_no) AS seq FROM prompts GROUP BY stage UNION ALL SELECT stage, 'complete', max(rec_no) FROM prompts GROUP BY stage UNION ALL SELECT 'stage3', CASE WHEN cluster_id IS NULL THEN 'failed' ELSE 'started' END, count(*) FROM clustered_prompts GROUP BY ALL)"
+
+
+def _events(spark, sf):
+    """Stage events read off the tables: a stage's first row starts it, its last completes it; stage 3 also fails."""
+    p, c = _t(spark, sf, "prompts"), _t(spark, sf, "clustered_prompts")
+    event = lambda d, status, seq: d.groupBy("stage").agg(seq.alias("seq")).select("stage", F.lit(status).alias("status"), "seq")
+    third = c.groupBy(F.when(F.col("cluster_id").isNull(), "failed").otherwise("started").alias("status")).agg(F.count("*").alias("seq"))
+    return event(p, "started", F.min("rec_no")).unionAll(event(p, "complete", F.max("rec_no"))).unionAll(third.select(F.lit("stage3").alias("stage"), "status", "seq"))
+
+
+@query("sta1_stage_states", f"SELECT stage, arg_max(status, (seq, status)) AS status, max(seq) AS seq FROM {_EVENTS_SQL} WHERE stage IS NOT NULL GROUP BY stage")
+def _(spark, sf):
+    return state.current(_events(spark, sf), ["stage"], "seq").select("stage", "status", "seq")
+
+
+@query("sta2_complete_stages", f"SELECT stage FROM (SELECT stage, arg_max(status, (seq, status)) AS status FROM {_EVENTS_SQL} WHERE stage IS NOT NULL GROUP BY stage) WHERE status = 'complete' ORDER BY stage")
+def _(spark, sf):
+    return state.current(_events(spark, sf), ["stage"], "seq").where("status = 'complete'").select("stage").orderBy("stage")
+
+
+@query("sta4_pending_items", f"WITH l AS (SELECT prompt_id, CASE WHEN {_strip("coalesce(response, '')")} = '' THEN 'failed' WHEN answer IS NULL THEN 'skipped' ELSE 'success' END AS status, response_id AS seq FROM responses) SELECT DISTINCT prompt_id FROM clustered_prompts WHERE prompt_id NOT IN (SELECT prompt_id FROM (SELECT prompt_id, arg_max(status, (seq, status)) AS s FROM l GROUP BY prompt_id) WHERE s IN ('success', 'skipped'))")
+def _(spark, sf):
+    status = F.when(text.is_blank(F.col("response")), "failed").when(F.col("answer").isNull(), "skipped").otherwise("success")
+    ledger = _t(spark, sf, "responses").select("prompt_id", status.alias("status"), F.col("response_id").alias("seq"))
+    return state.pending(_t(spark, sf, "clustered_prompts").select("prompt_id").distinct(), ledger, "prompt_id")
+
+
+@query("sta5_shard_manifest", "WITH m AS (SELECT shard, max(rec_no) AS seq FROM prompts WHERE stage = 'stage1' GROUP BY shard) SELECT shard, seq FROM m UNION ALL SELECT shard, min(rec_no) FROM prompts WHERE shard NOT IN (SELECT shard FROM m) GROUP BY shard")
+def _(spark, sf):
+    p = _t(spark, sf, "prompts")
+    known = p.where("stage = 'stage1'").groupBy("shard").agg(F.max("rec_no").alias("seq"))
+    return state.register(known, p.select("shard", F.col("rec_no").alias("seq")), "shard", "seq")
+
+
+@query("sta6_merged_ledger", "SELECT 'n_input' AS name, count(*) AS value FROM prompts UNION ALL SELECT 'n_short', count(CASE WHEN length(prompt) < 100 THEN 1 END) FROM prompts")
+def _(spark, sf):
+    per = _t(spark, sf, "prompts").groupBy("shard").agg(F.count("*").alias("n_input"), F.count_if(F.length("prompt") < 100).alias("n_short"))
+    ledger = per.unpivot("shard", ["n_input", "n_short"], "name", "value")
+    # Every entry twice, as after a task that was redone.
+    return state.merged_counters(ledger.unionAll(ledger))
+
+
+@query("set4_missing_ids", "SELECT DISTINCT prompt_id FROM clustered_prompts WHERE prompt_id IS NOT NULL AND prompt_id NOT IN (SELECT prompt_id FROM responses WHERE prompt_id IS NOT NULL)")
+def _(spark, sf):
+    return state.missing(_t(spark, sf, "clustered_prompts"), _t(spark, sf, "responses"), "prompt_id")
+
+
 @query("sta3_latest_state", "SELECT response_id, max(generated_at) AS generated_at FROM responses GROUP BY response_id")
 def _(spark, sf):
     ledger = _t(spark, sf, "responses").select("response_id", "generated_at", F.col("generated_at").alias("at"))
@@ -449,25 +498,46 @@ _SHORT = "flatten([" + ", ".join(f"CASE WHEN len(t) >= {n} THEN list_transform(g
 
 
 def _decontaminated(spark, sf, compat):
-    p = spread(_t(spark, sf, "prompts").select("prompt_id", "prompt"))
+    p = spread(_t(spark, sf, "prompts").select("rec_no", "prompt_id", "prompt"))
     return decontam.decontaminate(p, "prompt_id", "prompt", _t(spark, sf, "eval_items"), "item_id", "item_id", "question", compat=compat)
 
 
-@query("jn2_hits", _GRAMS_SQL.replace("{short}", _SHORT))
+_HITS_SQL = _GRAMS_SQL.replace("{short}", _SHORT)
+
+
+@query("jn2_hits", _HITS_SQL)
 def _(spark, sf):
     return _decontaminated(spark, sf, False)[1].select("prompt_id", "owner")
 
 
+@query("jn2_clean_pool", f"SELECT rec_no, prompt_id FROM prompts WHERE prompt_id NOT IN (SELECT prompt_id FROM ({_HITS_SQL}))")
+def _(spark, sf):
+    return _decontaminated(spark, sf, False)[0].select("rec_no", "prompt_id")
+
+
 @query("jn2_decontaminate")
 def _(spark, sf):
     return _decontaminated(spark, sf, True)[0].select("prompt_id")
 
 
-@query("agg4_removals")
+@query("snk11_removed_rows", f"SELECT p.rec_no, p.prompt_id, p.prompt, h.owner FROM prompts p JOIN ({_HITS_SQL}) h USING (prompt_id)")
+def _(spark, sf):
+    _, hits = _decontaminated(spark, sf, False)
+    return decontam.removed_rows(_t(spark, sf, "prompts"), hits, "prompt_id", "prompt", ["rec_no"]).select("rec_no", "prompt_id", "prompt", "owner")
+
+
+@query("agg4_removals", f"""WITH h AS ({_HITS_SQL}), r AS (SELECT p.source, h.owner FROM prompts p LEFT JOIN h USING (prompt_id)),
+w AS (SELECT item_id, {_match('question')} AS t FROM eval_items),
+gr AS (SELECT gram, min(item_id) AS owner, least(min(n), 13) AS gram_len FROM (SELECT item_id, len(t) AS n, unnest(CASE WHEN len(t) >= 13 THEN list_transform(generate_series(1, len(t) - 12), lambda i: array_to_string(t[i : i + 12], ' ')) WHEN len(t) >= 5 THEN [array_to_string(t, ' ')] ELSE [] END) AS gram FROM w) GROUP BY gram)
+SELECT 'total' AS section, 'in' AS name, count(*)::DOUBLE AS value FROM r UNION ALL SELECT 'total', 'removed', count(owner) FROM r UNION ALL SELECT 'total', 'removal_rate', round(count(owner) / greatest(count(*), 1), 6) FROM r
+UNION ALL SELECT 'removed by owner', owner::VARCHAR, count(*) FROM r WHERE owner IS NOT NULL GROUP BY owner UNION ALL SELECT 'removed by source', source, count(owner) FROM r GROUP BY source
+UNION ALL SELECT 'grams by length', gram_len::VARCHAR, count(*) FROM gr GROUP BY gram_len UNION ALL SELECT 'grams by owner', owner::VARCHAR, count(*) FROM gr GROUP BY owner
+UNION ALL SELECT 'too short by owner', item_id::VARCHAR, count(*) FROM w WHERE len(t) BETWEEN 1 AND 4 GROUP BY item_id""")
 def _(spark, sf):
-    p = _t(spark, sf, "prompts").select("prompt_id", "prompt")
-    _, hits = _decontaminated(spark, sf, True)
-    return decontam.removal_report(p, hits, "prompt_id").select("n_in", "n_removed", "removal_rate")
+    items = _t(spark, sf, "eval_items")
+    _, hits = _decontaminated(spark, sf, False)
+    grams, short = decontam.item_grams(items, "item_id", "item_id", "question", compat=False), decontam.short_items(items, "item_id", "question", compat=False)
+    return decontam.removal_report(_t(spark, sf, "prompts"), hits, "prompt_id", "prompt", "source", grams, short)
 
 
 @query("agg5_gram_owners", f"""WITH it AS (SELECT item_id, {_match('question')} AS t FROM eval_items), g AS (SELECT item_id, unnest(list_transform(generate_series(1, len(t) - 12), lambda i: array_to_string(t[i : i + 12], ' '))) AS gram FROM it WHERE len(t) >= 13 UNION ALL SELECT item_id, array_to_string(t, ' ') FROM it WHERE len(t) BETWEEN 5 AND 12) SELECT gram, min(item_id) AS owner FROM g GROUP BY gram""")

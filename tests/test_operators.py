@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltworks.operators import decontam, external, filters, relations, sampling, stats, vectors
+from siltworks.operators import decontam, external, filters, relations, sampling, state, stats, vectors
 from siltworks.sources import files
 from siltworks.streaming import ingest
 
@@ -58,13 +58,47 @@ def test_decontaminate_matches_brute_force(spark):
     clean, hits = decontam.decontaminate(df, "id", "text", ev, "item", "item", "question")
     assert {r["id"]: r["owner"] for r in hits.collect()} == want
     assert {r["id"] for r in clean.collect()} == {p for p, _ in pool} - set(want)
-    report = decontam.removal_report(df, hits, "id").first()
-    assert report["n_removed"] == len(want) and report["n_in"] == 82
+    grams_, short = decontam.item_grams(ev, "item", "item", "question"), decontam.short_items(ev, "item", "question")
+    report = {(r["section"], r["name"]): r["value"] for r in decontam.removal_report(df.withColumn("source", F.lit("s")), hits, "id", "text", "source", grams_, short).collect()}
+    assert report["total", "removed"] == report["removed by source", "s"] == len(want) and report["total", "in"] == len(pool)
+    audit = decontam.removed_rows(df, hits, "id", "text").collect()
+    assert {r["id"]: r["text"] for r in audit} == {p: t for p, t in pool if p in want}
     assert decontam.short_items(ev, "item", "question").agg(F.sum("n")).first()[0] == sum(len(t.split()) < 5 for _, t in items)
     with pytest.raises(ValueError):
         decontam.item_grams(ev, "item", "item", "question", n=3, least=5)
 
 
+def test_rows_without_a_key_are_cleaned_by_their_text(spark):
+    pool = [(None, f"see {ITEM} there"), (None, "nothing of the kind is here"), ("a", ITEM), ("a", "something else of the same key"), ("b", None), (None, None)]
+    df, ev = spark.createDataFrame(pool, "id string, text string"), spark.createDataFrame([(1, ITEM)], "item int, question string")
+    clean, hits = decontam.decontaminate(df, "id", "text", ev, "item", "item", "question")
+    assert sorted(map(tuple, clean.collect()), key=str) == sorted([(None, "nothing of the kind is here"), ("b", None), (None, None)], key=str)
+    assert len(hits.collect()) == 2
+    assert decontam.decontaminate(df, "id", "text", ev.limit(0), "item", "item", "question")[0].count() == len(pool)
+
+
+def test_run_state(spark, tmp_path):
+    s = state.RunState(spark, str(tmp_path / "run"))
+    assert not s.is_complete("one") and s.stages().count() == 0
+    s.stage("one", "started")
+    s.stage("one", "complete", "12 rows")
+    s.stage("two", "started")
+    s.stage("two", "failed", "no space")
+    assert [tuple(r)[:2] for r in s.stages().collect()] == [("one", "complete"), ("two", "failed")] and s.is_complete("one") and not s.is_complete("two")
+    with pytest.raises(ValueError):
+        s.stage("one", "odd")
+    items = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "item string")
+    assert s.pending(items, "one").count() == 4
+    s.mark(spark.createDataFrame([("a", "success"), ("b", "failed"), ("c", "skipped")], "item string, status string"), "one")
+    assert sorted(r[0] for r in s.pending(items, "one").collect()) == ["b", "d"] and s.pending(items, "two").count() == 4
+    s.mark(spark.createDataFrame([("b", "success"), ("a", "failed")], "item string, status string"), "one")
+    assert sorted(r[0] for r in s.pending(items, "one").collect()) == ["a", "d"]
+    s.publish("s1", {"rows": 5, "removed": 1})
+    s.publish("s1", {"rows": 99, "removed": 99})
+    s.publish("s2", {"rows": 7, "removed": 0})
+    assert dict(map(tuple, s.counters().collect())) == {"rows": 12, "removed": 1}
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(60, 8)).astype(np.float32)
