@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.functions import scores
-from siltworks.functions.text import is_blank, words
+from siltworks.functions.text import BLANK, is_blank, let, strip, words
+from siltworks.operators.parse import CONCLUSION
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,22 @@ def _parsed() -> Column:
     return (_text("reasoning") != "") | (_text("answer") != "")
 
 
+def body() -> Column:
+    """The text that is judged: reasoning and answer where the record is parsed, else the response."""
+    return F.when(_parsed(), F.concat(_text("reasoning"), F.lit(" "), _text("answer"))).otherwise(_text("response"))
+
+
+def long_enough(prompt: Column, least: int) -> Column:
+    """Prompts of fewer characters are left out: 10 for collected ones, 20 for generated ones."""
+    return F.length(F.trim(prompt)) >= least
+
+
+def with_math_check(df: DataFrame, domains: Sequence[str] = ("math",)) -> DataFrame:
+    """Adds ``math_numbers_disjoint``, null outside the stated domains. It informs and rejects nothing."""
+    inside = F.lower(F.trim("domain")).isin(*domains)
+    return df.withColumn("math_numbers_disjoint", F.when(inside, scores.numbers_disjoint(F.col("reasoning"), F.col("answer"))))
+
+
 def structural_reason(limits: TextLimits = TextLimits()) -> Column:
     """Null, or why the record's form is rejected. Columns: prompt, response, reasoning, answer."""
     parsed = _parsed()
@@ -184,8 +201,9 @@ def with_reason(df: DataFrame, limits: TextLimits = TextLimits()) -> DataFrame:
 
 def run_chain(df: DataFrame, id_col: str, *, limits: TextLimits = TextLimits(), code_domains: Sequence[str] = ("code",), seconds: float = 10.0, judge: Callable[[pd.DataFrame], pd.Series] | None = None, judge_rate: float = 0.1, judge_least: float = 6.0) -> DataFrame:
     """Adds ``reason`` by the whole chain, cheapest filters first: text, then code in the code domains, then a judge on a
-    sample. judge: prompt, reasoning and answer columns of a batch -> scores; a null score passes."""
-    out = with_reason(df, limits)
+    sample; and ``math_numbers_disjoint`` in the domain math. judge: prompt, reasoning and answer columns of a batch ->
+    scores; a null score passes."""
+    out = with_math_check(with_reason(df, limits))
     if code_domains:
         todo = out.where(F.col("reason").isNull() & F.lower(F.trim("domain")).isin(*code_domains))
         bad = code_reasons(todo, id_col, seconds).where("not code_passed").select(id_col, "code_reason")
@@ -203,6 +221,52 @@ def run_chain(df: DataFrame, id_col: str, *, limits: TextLimits = TextLimits(),
     return out
 
 
+def words_judge(batch: pd.DataFrame) -> pd.Series:
+    """A stand-in for a judging model: as many points as the answer has words."""
+    return batch["answer"].fillna("").str.split().str.len().astype(float)
+
+
+# How the older chain finds the prefix of a channel.
+CHANNEL = r"(?i)^\s*<\|[^\n>]*>?(?:thought|analysis|final)?\s*"
+
+
+def older_chain(df: DataFrame) -> DataFrame:
+    """Adds ``reason`` by the text filters of the older chain, for comparison. It parses every response anew: both tag pairs,
+    else the first conclusion phrase, else the last sentence; and it is stricter: 50 words or more, no run of five words more
+    than three times (in 20 words or more), a type-token ratio of 0.3, contradictions in answers of any length."""
+    t = strip(F.regexp_replace(F.coalesce(F.col("response"), F.lit("")), CHANNEL, ""))
+    between = lambda tag: strip(F.regexp_extract(t, rf"(?s)<{tag}>(.*?)</{tag}>", 1))
+    tagged = t.rlike(r"(?s)<think>.*?</think>") & t.rlike(r"(?s)<answer>.*?</answer>")
+    first = rf"(?is)^(.*?)({CONCLUSION}.*)$"
+    before, after = strip(F.regexp_extract(t, first, 1)), strip(F.regexp_extract(t, first, 2))
+    parts = F.filter(F.transform(F.split(t, rf"(?<=[.!?]){BLANK}+"), strip), lambda x: x != "")
+    marked, several = (before != "") & (after != ""), F.size("_s") >= 2
+    whole = df.withColumn("_s", parts)
+    r = F.when(tagged, between("think")).when(marked, before).when(several, F.array_join(F.slice("_s", 1, F.size("_s") - 1), " ")).otherwise(t)
+    a = F.when(tagged, between("answer")).when(marked, after).when(several, F.element_at("_s", -1)).otherwise("")
+    out = whole.withColumns({"_r": r, "_a": a}).withColumn("_b", F.concat("_r", F.lit(" "), "_a"))
+    n, low = F.size(words(F.col("_b"))), words(F.lower("_r"))
+    loops = let(low, lambda x: F.when(F.size(x) < 20, False).otherwise(scores.top_gram_count(x, 5) > 3))
+    ttr = scores.segment_ttr(words(F.lower("_b")))
+    reason = (
+        F.when(is_blank(F.col("prompt")), "missing_prompt").when(is_blank(F.col("_r")), "missing_reasoning").when(is_blank(F.col("_a")), "missing_answer")
+        .when(n < 50, F.concat(F.lit("too_short:"), n.cast("string"))).when(n > 8000, F.concat(F.lit("too_long:"), n.cast("string"))).when(loops, "repetition_loop")
+        .when(ttr < 0.3, F.concat(F.lit("low_info_density:"), F.format_number(ttr, 2))).when(scores.boilerplate(F.col("_a")), "boilerplate_answer").when(scores.contradicts(F.col("_r"), F.col("_a")), "self_contradiction")
+    )
+    return out.withColumn("reason", reason).drop("_s", "_r", "_a", "_b")
+
+
+def pass_rate(judged: DataFrame) -> DataFrame:
+    """One row: records, those that pass, and their share to four places."""
+    n = judged.agg(F.count("*").alias("n"), F.count_if(F.col("reason").isNull()).alias("passed"))
+    return n.withColumn("pass_rate", F.round(F.col("passed") / F.greatest("n", F.lit(1)), 4))
+
+
+def reason_histogram(judged: DataFrame, good: Column) -> DataFrame:
+    """(good, family, n): the reasons of the records that a reference calls good and of those that it calls bad."""
+    return judged.groupBy(good.alias("good"), F.coalesce(family(F.col("reason")), F.lit("passed")).alias("family")).agg(F.count("*").alias("n"))
+
+
 def filter_report(judged: DataFrame) -> DataFrame:
     """(domain, family, n): records by domain and kind of rejection, null for those that pass."""
     return judged.groupBy("domain", family(F.col("reason")).alias("family")).agg(F.count("*").alias("n"))

@@ -116,15 +116,16 @@ def _(spark, sf):
 # --- Scans, caps, dedup, set operations ----------------------------------------------------------------------------------
 
 
-@query("src7_cap_per_source", "SELECT rec_no, source FROM prompts QUALIFY row_number() OVER (PARTITION BY source ORDER BY rec_no) <= 20")
+@query("src7_cap_per_source", f"SELECT rec_no, source FROM (SELECT rec_no, source, prompt, row_number() OVER (PARTITION BY source ORDER BY rec_no) AS r FROM prompts WHERE {_strip("coalesce(prompt, '')")} <> '') WHERE r <= 20 AND length(trim(prompt)) >= 10")
 def _(spark, sf):
-    return relations.cap_per_group(_t(spark, sf, "prompts").select("rec_no", "source"), "source", ["rec_no"], 20)
+    # Only rows with a prompt count towards the cap; the length filter comes after it.
+    p = _t(spark, sf, "prompts").where(~text.is_blank(F.col("prompt"))).select("rec_no", "source", "prompt")
+    return relations.cap_per_group(p, "source", ["rec_no"], 20).where(filters.long_enough(F.col("prompt"), 10)).select("rec_no", "source")
 
 
-@query("src8_record_ids", "SELECT doc_id, substr(md5(substr(text, 1, 100)), 1, 8) AS tag FROM documents WHERE length(text) > 100")
+@query("src8_record_ids", "SELECT doc_id, concat('documents:', substr(md5(substr(text, 1, 100)), 1, 8)) AS tag FROM documents WHERE length(text) > 100")
 def _(spark, sf):
-    d = _t(spark, sf, "documents").where(F.length("text") > 100)
-    return d.select("doc_id", F.substring(F.md5(F.substring("text", 1, 100)), 1, 8).alias("tag"))
+    return _t(spark, sf, "documents").where(F.length("text") > 100).select("doc_id", files.record_id(F.lit("documents"), F.col("text")).alias("tag"))
 
 
 @query("src10_eval_texts", f"SELECT item_id AS owner, field_no, text FROM (SELECT item_id, 0::BIGINT AS field_no, {_strip('question')} AS text FROM eval_items UNION ALL SELECT item_id, 1, array_to_string(list_filter(list_transform(choices, lambda x: trim(x)), lambda x: x <> ''), ' ') FROM eval_items) WHERE text <> ''")
@@ -148,9 +149,10 @@ def _(spark, sf):
     return relations.dedup_rates(_t(spark, sf, "prompts"), "prompt_id", "source").withColumn("rate", F.round("rate", 6))
 
 
-@query("flt1_min_length", "SELECT rec_no FROM prompts WHERE length(trim(prompt)) >= 10")
+@query("flt1_min_length", "SELECT rec_no, length(trim(prompt)) >= 20 AS generated_ok FROM prompts WHERE length(trim(prompt)) >= 10")
 def _(spark, sf):
-    return _t(spark, sf, "prompts").where(F.length(F.trim("prompt")) >= 10).select("rec_no")
+    p = _t(spark, sf, "prompts").where(filters.long_enough(F.col("prompt"), 10))
+    return p.select("rec_no", filters.long_enough(F.col("prompt"), 20).alias("generated_ok"))
 
 
 @query("jn1_not_yet_done", "SELECT DISTINCT prompt_id FROM prompts WHERE prompt_id NOT IN (SELECT prompt_id FROM responses WHERE prompt_id IS NOT NULL)")
@@ -191,13 +193,6 @@ def _(spark, sf):
     return j.agg(F.count("*").alias("n"), F.count(F.when(F.col("has_text").isNull(), 1)).alias("missing"), F.count(F.when(F.col("has_text") == 0, 1)).alias("empty"))
 
 
-@query("jn11_snapshot", "SELECT c.prompt_id, any_value(c.domain) AS domain, any_value(array_to_string(c.topics, ', ')) AS topics, count(DISTINCT r.response_id) AS n_responses FROM clustered_prompts c LEFT JOIN responses r USING (prompt_id) GROUP BY c.prompt_id")
-def _(spark, sf):
-    c = _t(spark, sf, "clustered_prompts").groupBy("prompt_id").agg(F.first("domain", ignorenulls=True).alias("domain"), F.first(F.array_join("topics", ", "), ignorenulls=True).alias("topics"))
-    r = _t(spark, sf, "responses").groupBy("prompt_id").agg(F.countDistinct("response_id").alias("n_responses"))
-    return c.join(r, "prompt_id", "left").select("prompt_id", "domain", "topics", F.coalesce("n_responses", F.lit(0)).alias("n_responses"))
-
-
 @query("jn15_semi_join", "SELECT doc_id FROM documents WHERE source IN (SELECT source FROM mix_targets)")
 def _(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", "source").join(_t(spark, sf, "mix_targets").select("source"), "source", "left_semi").select("doc_id")
@@ -279,21 +274,26 @@ def _(spark, sf):
     return _responses(spark, sf).select("response_id", parse.parse_response(F.col("response")).alias("p")).select("response_id", "p.*")
 
 
-@query("prs2_parse_missing")
+@query("prs2_parse_missing", f"""WITH p AS ({_PARSE_SQL}) SELECT r.response_id, CASE WHEN {_strip("coalesce(r.response, '')")} <> '' AND coalesce(r.reasoning, '') = '' AND coalesce(r.answer, '') = '' THEN p.reasoning ELSE r.reasoning END AS reasoning,
+CASE WHEN {_strip("coalesce(r.response, '')")} <> '' AND coalesce(r.reasoning, '') = '' AND coalesce(r.answer, '') = '' THEN p.answer ELSE r.answer END AS answer FROM {_RESPONSES} r JOIN p USING (response_id)""")
 def _(spark, sf):
     return parse.with_parsed(_responses(spark, sf)).select("response_id", "reasoning", "answer")
 
 
+def _candidates(spark, sf):
+    r = _responses(spark, sf).where("response is not null").groupBy("prompt_id").agg(F.array_sort(F.collect_list(F.struct("response_id", "response"))).alias("c"))
+    return r.select("prompt_id", F.transform("c", lambda x: x["response"]).alias("c"))
+
+
 @query("prs4_longest_candidate", f"SELECT prompt_id, arg_max(response, (length(response), -response_id)) AS response FROM {_RESPONSES} WHERE response IS NOT NULL GROUP BY prompt_id")
 def _(spark, sf):
-    r = _responses(spark, sf).where("response is not null")
-    return r.groupBy("prompt_id").agg(F.max_by("response", F.struct(F.length("response"), -F.col("response_id"))).alias("response"))
+    return _candidates(spark, sf).select("prompt_id", parse.longest_candidate(F.col("c")).alias("response"))
 
 
-@query("prs3_best_candidate")
+@query("prs3_best_candidate", f"""WITH p AS ({_PARSE_SQL}), k AS (SELECT r.prompt_id, r.response_id, r.response, p.valid AND p.reasoning <> '' AND p.answer <> '' AS good, p.* EXCLUDE (response_id) FROM {_RESPONSES} r JOIN p USING (response_id) WHERE r.response IS NOT NULL)
+SELECT prompt_id, arg_max(response, (CASE WHEN good AND NOT fallback THEN 2 WHEN good THEN 1 ELSE 0 END, CASE WHEN good THEN length(reasoning) ELSE length(response) END, -response_id)) AS response FROM k GROUP BY prompt_id""")
 def _(spark, sf):
-    r = _responses(spark, sf).where("response is not null").groupBy("prompt_id").agg(F.array_sort(F.collect_list(F.struct("response_id", "response"))).alias("c"))
-    return r.select("prompt_id", parse.best_candidate(F.transform("c", lambda x: x["response"]))["text"].alias("response"))
+    return _candidates(spark, sf).select("prompt_id", parse.best_candidate(F.col("c"))["text"].alias("response"))
 
 
 @query("ext2_chat_values", r"SELECT rec_no, concat(coalesce(nullif(trim(source), ''), 'none'), chr(10), chr(10), regexp_replace(prompt, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')) AS prompt FROM prompts WHERE trim(coalesce(prompt, '')) <> ''")
@@ -316,11 +316,12 @@ def _(spark, sf):
     return parse.chunk_documents(_t(spark, sf, "documents"), "doc_id", "text", size_tokens=128, overlap_tokens=16).select("doc_id", "chunk_id", "chunk_hash")
 
 
-@query("prs7_annotations", "SELECT DISTINCT prompt_id, CASE WHEN domain IN ('math', 'code', 'science', 'reasoning', 'writing', 'language', 'knowledge', 'instruction', 'other') THEN domain ELSE 'other' END AS domain, CASE WHEN difficulty IN ('easy', 'medium', 'hard') THEN difficulty ELSE 'medium' END AS difficulty, CASE WHEN length(language) <= 10 THEN language ELSE 'en' END AS language FROM clustered_prompts")
+@query("prs7_annotations", "SELECT DISTINCT prompt_id, CASE WHEN domain IN ('math', 'code', 'science', 'reasoning', 'writing', 'language', 'knowledge', 'instruction', 'other') THEN domain ELSE 'other' END AS domain, CASE WHEN difficulty IN ('easy', 'medium', 'hard') THEN difficulty ELSE 'medium' END AS difficulty, CASE WHEN length(language) <= 10 THEN language ELSE 'en' END AS language, coalesce(array_to_string(topics, '|'), '') AS topics, coalesce(summary, '') AS summary FROM clustered_prompts")
 def _(spark, sf):
     c = _t(spark, sf, "clustered_prompts")
     said = F.concat(F.lit("<think>Let me see {not json}</think>\n```json\n"), F.to_json(F.struct("domain", "difficulty", "language", "topics", "summary")), F.lit("\n```"))
-    return c.select("prompt_id", parse.parse_annotation(said).alias("a")).select("prompt_id", "a.domain", "a.difficulty", "a.language").distinct()
+    a = c.select("prompt_id", parse.parse_annotation(said).alias("a"))
+    return a.select("prompt_id", "a.domain", "a.difficulty", "a.language", F.array_join("a.topics", "|").alias("topics"), "a.summary").distinct()
 
 
 @query("prs5_split_thought", rf"SELECT response_id, position('</think>' IN coalesce(response, '')) > 0 OR position('<think>' IN coalesce(response, '')) = 0 AS complete, CASE WHEN position('</think>' IN response) > 0 THEN {_strip("regexp_extract(response, '(?s)</think>(.*)$', 1)")} WHEN position('<think>' IN response) > 0 THEN '' ELSE {_strip("coalesce(response, '')")} END AS answer FROM {_RESPONSES}")
@@ -403,16 +404,33 @@ def _(spark, sf):
     return _responses(spark, sf).where(scores.boilerplate(F.col("answer"))).select("response_id")
 
 
-@query("scr5_concluded_numbers")
+_NUM = r"-?\d+(?:\.\d+)?(?:/\d+)?"
+_CONCLUDED = rf"list_distinct(list_concat(flatten(list_transform(regexp_extract_all(coalesce(answer, ''), '\\boxed\{{([^{{}}]*(?:\{{[^{{}}]*\}}[^{{}}]*)*)\}}', 1), lambda x: regexp_extract_all(x, '{_NUM}'))), regexp_extract_all(coalesce(answer, ''), '(?m)=\s*({_NUM})\s*(?:$|[^\w])', 1)))"
+_DISJOINT = f"""SELECT response_id, domain, c, k, list_transform(list_filter(c, lambda x: NOT contains(x, '/')), lambda x: x::DOUBLE) AS cv, list_transform(list_filter(k, lambda x: NOT contains(x, '/')), lambda x: x::DOUBLE) AS kv
+FROM (SELECT response_id, domain, {_CONCLUDED} AS c, list_distinct(regexp_extract_all(coalesce(reasoning, ''), '{_NUM}')) AS k FROM {_RESPONSES})"""
+_IS_DISJOINT = "len(c) > 0 AND len(k) > 0 AND NOT list_has_any(c, k) AND len(cv) > 0 AND len(kv) > 0 AND len(list_filter(cv, lambda x: len(list_filter(kv, lambda y: abs(x - y) < 1e-6)) > 0)) = 0"
+
+
+@query("scr5_concluded_numbers", f"SELECT DISTINCT response_id, unnest({_CONCLUDED}) AS number FROM {_RESPONSES}")
 def _(spark, sf):
     return _responses(spark, sf).select("response_id", F.explode(scores.concluded_numbers(F.col("answer"))).alias("number")).distinct()
 
 
-@query("scr7_numbers_disjoint")
+@query("scr7_numbers_disjoint", f"SELECT response_id FROM ({_DISJOINT}) WHERE {_IS_DISJOINT}")
 def _(spark, sf):
     return _responses(spark, sf).where(scores.numbers_disjoint(F.col("reasoning"), F.col("answer"))).select("response_id")
 
 
+@query("scr6_formulas", rf"SELECT response_id, len(list_filter(list_transform(list_concat(regexp_extract_all(t, '\$([^$]+)\$', 1), regexp_extract_all(t, '\\\((.+?)\\\)', 1), regexp_extract_all(t, '(?s)\$\$(.+?)\$\$', 1), regexp_extract_all(t, '(?s)\\\[(.+?)\\\]', 1)), lambda x: trim(x)), lambda x: x <> '')) AS n FROM (SELECT response_id, coalesce(answer, '') AS t FROM {_RESPONSES})")
+def _(spark, sf):
+    return _responses(spark, sf).select("response_id", F.size(scores.formulas(F.col("answer"))).cast("long").alias("n"))
+
+
+@query("flt4_math_check", f"SELECT response_id, CASE WHEN lower(trim(domain)) = 'math' THEN {_IS_DISJOINT} END AS math_numbers_disjoint FROM ({_DISJOINT})")
+def _(spark, sf):
+    return filters.with_math_check(_responses(spark, sf)).select("response_id", "math_numbers_disjoint")
+
+
 # --- Filters and reports -------------------------------------------------------------------------------------------------
 
 _CHAIN_SQL = f"""
@@ -459,10 +477,48 @@ def _(spark, sf):
     return _t(spark, sf, "clustered_prompts").where(F.col("domain").isin("math", "code") & (F.col("difficulty") == "medium") & (hit("prompt") | hit("summary"))).select("prompt_id", "clustered_at")
 
 
-@query("flt11_older_chain")
+@query("flt8_judge", _CHAIN_SQL + f", q AS (SELECT *, ({_FAMILY}) AS f FROM s) SELECT response_id, CASE WHEN f IS NOT NULL THEN f WHEN len({_words('a')}) < 6 THEN 'llm_judge' END AS family FROM q")
+def _(spark, sf):
+    # A stand-in for a model: as many points as the answer has words. Every record that is still alive is judged.
+    d = filters.run_chain(_responses(spark, sf), "response_id", code_domains=(), judge=filters.words_judge, judge_rate=1.0)
+    return d.select("response_id", filters.family(F.col("reason")).alias("family"))
+
+
+@query("flt9_staged_chain")
+def _(spark, sf):
+    d = filters.run_chain(_responses(spark, sf), "response_id", seconds=5.0, judge=filters.words_judge)
+    return d.select("response_id", "math_numbers_disjoint", filters.family(F.col("reason")).alias("family"))
+
+
+_V0_SQL = rf"""WITH b AS (SELECT response_id, coalesce(prompt, '') AS p, {_strip("regexp_replace(coalesce(response, ''), '(?i)^[\s]*<[|][^\n>]*>?(?:thought|analysis|final)?[\s]*', '')")} AS t FROM {_RESPONSES}),
+m AS (SELECT *, regexp_matches(t, '(?s)<think>.*?</think>') AND regexp_matches(t, '(?s)<answer>.*?</answer>') AS tagged, regexp_extract(t, '(?is)^(.*?)(\b(?:therefore|thus|in conclusion|hence|so,|the answer is|final answer:?|in summary|to summarize)\b.*)$', 1) AS before0,
+ regexp_extract(t, '(?is)^(.*?)(\b(?:therefore|thus|in conclusion|hence|so,|the answer is|final answer:?|in summary|to summarize)\b.*)$', 2) AS after0,
+ list_filter(list_transform(string_split(regexp_replace(t, '([.!?])[\s\pZ]+', '\1' || chr(1), 'g'), chr(1)), lambda x: {_strip("x")}), lambda x: x <> '') AS parts FROM b),
+k AS (SELECT *, {_strip("before0")} AS before, {_strip("after0")} AS after FROM m),
+ra AS (SELECT response_id, p, CASE WHEN tagged THEN {_strip("regexp_extract(t, '(?s)<think>(.*?)</think>', 1)")} WHEN before <> '' AND after <> '' THEN before WHEN len(parts) >= 2 THEN array_to_string(parts[:-2], ' ') ELSE t END AS r,
+ CASE WHEN tagged THEN {_strip("regexp_extract(t, '(?s)<answer>(.*?)</answer>', 1)")} WHEN before <> '' AND after <> '' THEN after WHEN len(parts) >= 2 THEN parts[-1] ELSE '' END AS a FROM k),
+w AS (SELECT *, {_words("concat(r, ' ', a)")} AS w, {_words('lower(r)')} AS rw, {_words("lower(concat(r, ' ', a))")} AS lw, list_distinct({_words('lower(r)')}) AS rs, list_distinct({_words('lower(a)')}) AS ax FROM ra),
+top AS (SELECT response_id, max(n) AS top FROM (SELECT response_id, gram, count(*) AS n FROM (SELECT response_id, unnest(list_transform(generate_series(1, len(rw) - 4), lambda i: array_to_string(rw[i : i + 4], ' '))) AS gram FROM w WHERE len(rw) >= 20) GROUP BY ALL) GROUP BY response_id),
+z AS (SELECT w.*, coalesce(top.top, 0) AS top, CASE WHEN len(lw) = 0 THEN NULL WHEN len(lw) < 100 THEN len(list_distinct(lw)) / len(lw) ELSE list_avg(list_transform(generate_series(0, len(lw) // 100 - 1), lambda i: len(list_distinct(lw[i * 100 + 1 : i * 100 + 100])) / 100.0)) END AS ttr FROM w LEFT JOIN top USING (response_id))
+SELECT response_id, CASE WHEN {_strip('p')} = '' THEN 'missing_prompt' WHEN {_strip('r')} = '' THEN 'missing_reasoning' WHEN {_strip('a')} = '' THEN 'missing_answer' WHEN len(w) < 50 THEN 'too_short' WHEN len(w) > 8000 THEN 'too_long' WHEN top > 3 THEN 'repetition_loop' WHEN ttr < 0.3 THEN 'low_info_density'
+ WHEN regexp_matches({_strip('a')}, '(?i){scores.BOILERPLATE.replace("'", "''")}') THEN 'boilerplate_answer'
+ WHEN list_has_any(rs, {_NEG}) <> list_has_any(ax, {_NEG}) AND len(list_intersect(list_filter(rs, lambda v: length(v) > 3 AND NOT list_contains({_NEG}, v)), list_filter(ax, lambda v: length(v) > 3 AND NOT list_contains({_NEG}, v)))) >= 3 THEN 'self_contradiction' END AS family FROM z"""
+
+
+@query("flt11_older_chain", _V0_SQL)
+def _(spark, sf):
+    return filters.older_chain(_responses(spark, sf)).select("response_id", filters.family(F.col("reason")).alias("family"))
+
+
+@query("agg6_pass_rate", _CHAIN_SQL + f"SELECT count(*) AS n, count(CASE WHEN f IS NULL THEN 1 END) AS passed, round(count(CASE WHEN f IS NULL THEN 1 END) / greatest(count(*), 1), 4) AS pass_rate FROM (SELECT {_FAMILY} AS f FROM s)")
 def _(spark, sf):
-    old = filters.TextLimits(least_words=50, gram_floor=3, words_per_repeat=10**9, least_ttr=0.30, contradictions=True, contradiction_words=10**9)
-    return filters.with_reason(_responses(spark, sf), old).select("response_id", filters.family(F.col("reason")).alias("family"))
+    return filters.pass_rate(filters.with_reason(_responses(spark, sf)))
+
+
+@query("agg16_reason_histogram", _CHAIN_SQL + f"SELECT len(w) >= 60 AS good, coalesce({_FAMILY}, 'passed') AS family, count(*) AS n FROM s GROUP BY ALL")
+def _(spark, sf):
+    d = filters.with_reason(_responses(spark, sf))
+    return filters.reason_histogram(d, F.size(text.words(filters.body())) >= 60)
 
 
 _FLAGS = _CHAIN_SQL + f", v AS (SELECT response_id, ({_FAMILY}) IS NULL AS passed, len(w) >= 60 AS good FROM s)"
@@ -548,10 +604,13 @@ def _(spark, sf):
 # --- Statistics ----------------------------------------------------------------------------------------------------------
 
 
-@query("agg7_value_counts", "SELECT 'domain' AS field, domain AS value, count(*) AS n FROM clustered_prompts WHERE domain <> '' GROUP BY 2 UNION ALL SELECT 'language', language, count(*) FROM clustered_prompts WHERE language <> '' GROUP BY 2")
+_COUNTED = ("domain", "difficulty", "language", "source")
+
+
+@query("agg7_value_counts", " UNION ALL ".join(f"SELECT '{f}' AS field, {f} AS value, count(*) AS n FROM clustered_prompts WHERE {f} <> '' GROUP BY {f}" for f in _COUNTED))
 def _(spark, sf):
     c = _t(spark, sf, "clustered_prompts")
-    return relations.union_all(*[stats.value_counts(c, f).select(F.lit(f).alias("field"), "value", "n") for f in ("domain", "language")])
+    return relations.union_all(*[stats.value_counts(c, f).select(F.lit(f).alias("field"), "value", "n") for f in _COUNTED])
 
 
 @query("agg8_topics", "SELECT value, count(*) AS n FROM (SELECT trim(unnest(topics)) AS value FROM clustered_prompts) WHERE value <> '' GROUP BY value ORDER BY n DESC, value LIMIT 100")
@@ -564,6 +623,13 @@ def _(spark, sf):
     return stats.cross_tab(_t(spark, sf, "clustered_prompts"), "domain", "difficulty", ["easy", "medium", "hard"])
 
 
+@query("agg9_domain_by_language", "WITH l AS (SELECT language FROM clustered_prompts WHERE language <> '' GROUP BY language ORDER BY count(*) DESC, language LIMIT 10), d AS (SELECT DISTINCT domain FROM clustered_prompts WHERE domain <> '') SELECT d.domain, l.language, count(c.prompt_id) AS n FROM d CROSS JOIN l LEFT JOIN clustered_prompts c ON c.domain = d.domain AND c.language = l.language GROUP BY ALL")
+def _(spark, sf):
+    c = _t(spark, sf, "clustered_prompts")
+    top = [r["value"] for r in stats.top_values(c, "language", 10).collect()]
+    return stats.cross_tab(c, "domain", "language", top).unpivot("domain", top, "language", "n")
+
+
 @query("agg10_topics_per_domain", "SELECT domain, value, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY n DESC, value) AS rank FROM (SELECT domain, value, count(*) AS n FROM (SELECT domain, trim(unnest(topics)) AS value FROM clustered_prompts WHERE domain <> '') WHERE value <> '' GROUP BY ALL)) WHERE rank <= 15")
 def _(spark, sf):
     return stats.top_per_group(_t(spark, sf, "clustered_prompts"), "domain", "topics", 15).withColumn("rank", F.col("rank").cast("long"))
@@ -629,7 +695,7 @@ def _(spark, sf):
 
 @query("vec4_spherical_kmeans")
 def _(spark, sf):
-    return vectors.spherical_kmeans(_t(spark, sf, "embeddings"), "vec_id", "embedding", 10, rounds=8)[0].select("vec_id", "cluster")
+    return vectors.spherical_kmeans(_t(spark, sf, "embeddings"), "vec_id", "embedding", 10)[0].select("vec_id", "cluster")
 
 
 @query("vec1_embed")
@@ -643,9 +709,14 @@ def _(spark, sf):
     return stats.share_of_total(_t(spark, sf, "prompts"), "source")
 
 
-@query("top1_languages", "SELECT language AS value, count(*) AS n FROM clustered_prompts WHERE language <> '' GROUP BY language ORDER BY n DESC, value LIMIT 30")
+_TOP = (("cluster_id", 50), ("language", 30), ("source", 30))
+
+
+@query("top1_lists", " UNION ALL ".join(f"SELECT * FROM (SELECT '{c}' AS field, {c}::VARCHAR AS value, count(*) AS n FROM clustered_prompts WHERE {c}::VARCHAR <> '' GROUP BY {c} ORDER BY n DESC, {c} LIMIT {k})" for c, k in _TOP) + " UNION ALL SELECT * FROM (SELECT 'topics', value, count(*) AS n FROM (SELECT trim(unnest(topics)) AS value FROM clustered_prompts) WHERE value <> '' GROUP BY value ORDER BY n DESC, value LIMIT 100)")
 def _(spark, sf):
-    return stats.top_values(_t(spark, sf, "clustered_prompts"), "language", 30)
+    c = _t(spark, sf, "clustered_prompts")
+    named = lambda d, f: d.select(F.lit(f).alias("field"), F.col("value").cast("string").alias("value"), "n")
+    return relations.union_all(*[named(stats.top_values(c, f, k), f) for f, k in _TOP], named(stats.list_counts(c, "topics", 100), "topics"))
 
 
 # --- Ranking and sampling ------------------------------------------------------------------------------------------------
@@ -723,6 +794,14 @@ def _(spark, sf):
     return c.select("prompt_id", F.to_json(parse.chat_messages(text.last_words(F.col("prompt"), 512))).alias("messages"))
 
 
+@query("jn11_snapshot", _CHAIN_SQL + f", vd AS (SELECT r.prompt_id, count(*) AS n_responses, count(CASE WHEN v.family IS NULL THEN 1 END) AS n_passed, arg_max(coalesce(v.family, 'passed'), r.response_id) AS last_verdict FROM {_RESPONSES} r JOIN (SELECT response_id, {_FAMILY} AS family FROM s) v USING (response_id) GROUP BY r.prompt_id), cp AS (SELECT prompt_id, min(domain) AS domain, min(array_to_string(topics, ', ')) AS topics FROM clustered_prompts GROUP BY prompt_id) SELECT cp.*, coalesce(n_responses, 0) AS n_responses, coalesce(n_passed, 0) AS n_passed, last_verdict FROM cp LEFT JOIN vd USING (prompt_id)")
+def _(spark, sf):
+    c = _t(spark, sf, "clustered_prompts").groupBy("prompt_id").agg(F.min("domain").alias("domain"), F.min(F.array_join("topics", ", ")).alias("topics"))
+    v = filters.with_reason(_responses(spark, sf)).select("prompt_id", "response_id", filters.family(F.col("reason")).alias("family"))
+    per = v.groupBy("prompt_id").agg(F.count("*").alias("n_responses"), F.count_if(F.col("family").isNull()).alias("n_passed"), F.max_by(F.coalesce("family", F.lit("passed")), "response_id").alias("last_verdict"))
+    return c.join(per, "prompt_id", "left").select("prompt_id", "domain", "topics", F.coalesce("n_responses", F.lit(0)).alias("n_responses"), F.coalesce("n_passed", F.lit(0)).alias("n_passed"), "last_verdict")
+
+
 @query("snk12_first_rejections", _CHAIN_SQL + f"SELECT response_id, {_FAMILY} AS family FROM s WHERE ({_FAMILY}) IS NOT NULL ORDER BY response_id LIMIT 20")
 def _(spark, sf):
     d = filters.with_reason(_responses(spark, sf)).where("reason is not null").orderBy("response_id").limit(20)
@@ -765,19 +844,19 @@ def _(spark, sf):
     return place.join(_pool(spark, sf), "prompt_id").select("place", "prompt_id", "domain")
 
 
-@query("jn12_verified_scores", _FLAGS + f", j AS (SELECT response_id, response_id % 5 + 1 AS score FROM {_RESPONSES} WHERE response_id % 3 <> 0) SELECT count(*) AS n, count(CASE WHEN passed AND score >= 4 THEN 1 END) AS passed_good, count(CASE WHEN NOT passed AND score < 4 THEN 1 END) AS rejected_bad FROM v JOIN j USING (response_id)")
+@query("jn12_verified_scores", _FLAGS + f", j AS (SELECT response_id, len({_words('answer')}) AS score FROM {_RESPONSES}) SELECT count(*) AS n, count(CASE WHEN passed AND score >= 4 THEN 1 END) AS passed_good, count(CASE WHEN NOT passed AND score < 4 THEN 1 END) AS rejected_bad FROM v JOIN j USING (response_id)")
 def _(spark, sf):
-    j = _responses(spark, sf).where("response_id % 3 <> 0").select("response_id", (F.col("response_id") % 5 + 1).alias("score"))
+    j = _responses(spark, sf).select("response_id", F.size(text.words(F.col("answer"))).alias("score"))
     v = _flags(spark, sf).join(j, "response_id")
-    return v.agg(F.count("*").alias("n"), F.count(F.when(F.col("passed") & (F.col("score") >= 4), 1)).alias("passed_good"), F.count(F.when(~F.col("passed") & (F.col("score") < 4), 1)).alias("rejected_bad"))
+    return v.agg(F.count("*").alias("n"), F.count_if(F.col("passed") & (F.col("score") >= 4)).alias("passed_good"), F.count_if(~F.col("passed") & (F.col("score") < 4)).alias("rejected_bad"))
 
 
-@query("jn13_comparison", _CHAIN_SQL + f"SELECT s.response_id, {_FAMILY} AS now, CASE WHEN len(w) < 50 THEN 'too_short' END AS before, d.n_prompts FROM s LEFT JOIN (SELECT domain, count(*) AS n_prompts FROM prompts GROUP BY domain) d USING (domain)")
+@query("jn13_comparison", _CHAIN_SQL + f"SELECT s.response_id, {_FAMILY} AS now, CASE WHEN len(w) < 50 THEN 'too_short' END AS before, d.n_prompts, len({_words('a')}) AS score FROM s LEFT JOIN (SELECT domain, count(*) AS n_prompts FROM prompts GROUP BY domain) d USING (domain)")
 def _(spark, sf):
     d = filters.with_reason(_responses(spark, sf))
     body = F.when(filters._parsed(), F.concat(filters._text("reasoning"), F.lit(" "), filters._text("answer"))).otherwise(filters._text("response"))
     per = _t(spark, sf, "prompts").groupBy("domain").agg(F.count("*").alias("n_prompts"))
-    return d.withColumn("before", F.when(F.size(text.words(body)) < 50, "too_short")).join(per, "domain", "left").select("response_id", filters.family(F.col("reason")).alias("now"), "before", "n_prompts")
+    return d.withColumn("before", F.when(F.size(text.words(body)) < 50, "too_short")).join(per, "domain", "left").select("response_id", filters.family(F.col("reason")).alias("now"), "before", "n_prompts", F.size(text.words(F.col("answer"))).cast("long").alias("score"))
 
 
 @query("jn14_judge_cache", f"SELECT response_id, CASE WHEN response_id % 2 = 0 THEN 'kept' ELSE 'sent' END AS origin FROM {_RESPONSES}")
@@ -799,9 +878,9 @@ def _(spark, sf):
     return n("prompts", F.count("*"), "n_prompts").crossJoin(n("responses", F.count("*"), "n_responses")).crossJoin(n("clustered_prompts", F.countDistinct("prompt_id"), "n_clustered"))
 
 
-@query("agg21_reason_buckets", _CHAIN_SQL + f"SELECT coalesce(CASE WHEN f IN ('too_short', 'too_long') THEN substr(concat(f, ':', len(w)), 1, 30) ELSE f END, 'passed') AS bucket, count(*) AS n FROM (SELECT *, {_FAMILY} AS f FROM s) WHERE f IS NULL OR f <> 'low_info_density' GROUP BY 1")
+@query("agg21_reason_buckets", _CHAIN_SQL + f"SELECT coalesce(CASE WHEN f IN ('too_short', 'too_long') THEN substr(concat(f, ':', len(w)), 1, 30) WHEN f = 'low_info_density' THEN concat(f, ':', printf('%.2f', ttr)) ELSE f END, 'passed') AS bucket, count(*) AS n FROM (SELECT *, {_FAMILY} AS f FROM s) GROUP BY 1")
 def _(spark, sf):
-    d = filters.with_reason(_responses(spark, sf)).where("reason is null or reason not like 'low_info_density%'")
+    d = filters.with_reason(_responses(spark, sf))
     return d.groupBy(F.coalesce(filters.bucket(F.col("reason")), F.lit("passed")).alias("bucket")).agg(F.count("*").alias("n"))
 
 
@@ -823,9 +902,9 @@ def _(spark, sf):
     return _responses(spark, sf).select("response_id", F.coalesce(said("answer"), said("response"), F.lit("-")).alias("shown"))
 
 
-@query("srt1_ordered_states", "SELECT response_id, generated_at FROM responses ORDER BY generated_at NULLS LAST, response_id LIMIT 500")
+@query("srt1_ordered_states", "SELECT response_id, generated_at FROM responses ORDER BY generated_at NULLS LAST, response_id")
 def _(spark, sf):
-    return _t(spark, sf, "responses").select("response_id", "generated_at").orderBy(F.asc_nulls_last("generated_at"), "response_id").limit(500)
+    return _t(spark, sf, "responses").select("response_id", "generated_at").orderBy(F.asc_nulls_last("generated_at"), "response_id")
 
 
 @query("smp4_training_rows")
@@ -833,12 +912,13 @@ def _(spark, sf):
     return sampling.hash_sample(_t(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id", 200).select("vec_id")
 
 
-@query("vec11_heuristic_labels", rf"SELECT rec_no, -1 AS cluster_id, CASE WHEN n >= 200 OR m THEN 'hard' WHEN n <= 50 THEN 'easy' ELSE 'medium' END AS difficulty FROM (SELECT rec_no, len({_words('prompt')}) AS n, regexp_matches(coalesce(prompt, ''), '(?i){labels.MULTI_STEP}') AS m FROM prompts)")
+@query("vec11_heuristic_labels", rf"SELECT rec_no, -1 AS cluster_id, d.label AS domain, CASE WHEN n >= 200 OR m THEN 'hard' WHEN n <= 50 THEN 'easy' ELSE 'medium' END AS difficulty FROM (SELECT rec_no, len({_words('prompt')}) AS n, regexp_matches(coalesce(prompt, ''), '(?i){labels.MULTI_STEP}') AS m FROM prompts) JOIN ({_domain_sql(labels.PROMPT_KEYWORDS)}) d USING (rec_no)")
 def _(spark, sf):
-    return _t(spark, sf, "prompts").select("rec_no", F.lit(-1).alias("cluster_id"), labels.difficulty(F.col("prompt")).alias("difficulty"))
+    p = spread(_t(spark, sf, "prompts").select("rec_no", "prompt"))
+    return p.select("rec_no", F.lit(-1).alias("cluster_id"), labels.prompt_domain(F.col("prompt")).alias("domain"), labels.difficulty(F.col("prompt")).alias("difficulty"))
 
 
-@query("extc_model_calls")
+@query("extc_model_calls", f"SELECT prompt_id, concat('<answer>', array_to_string({_words('p')}[1:5], ' '), '</answer>') AS answer, true AS complete FROM (SELECT prompt_id, min(prompt) AS p FROM prompts WHERE prompt_id IS NOT NULL GROUP BY prompt_id)")
 def _(spark, sf):
     p = relations.first_per_key(_t(spark, sf, "prompts").select("prompt_id", "prompt"), "prompt_id", ["prompt"])
     out = external.call_model(p, "prompt_id", "prompt", external.echo_client)

@@ -6,7 +6,7 @@ import json
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,13 +40,18 @@ def count_lines(spark: SparkSession, path: str) -> int:
     return spark.read.text(path).where(~is_blank(F.col("value"))).count()
 
 
+def record_id(file: Column, text: Column) -> Column:
+    """A record's id: its file's name and a hash of how its text begins."""
+    return F.concat(file, F.lit(":"), F.substring(F.md5(F.substring(text, 1, 100)), 1, 8))
+
+
 def read_corpus(spark: SparkSession, folder: str, least: int = 100) -> DataFrame:
     """(doc_id, text) of a folder: .txt and .md files as wholes, .jsonl and .json record by record; texts of more than
     ``least`` characters. A record's id is its file's name and a hash of how it begins."""
     files = lambda glob: spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
     whole = files("*.{txt,md}").option("wholetext", "true").text(folder).select(F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("text"))
     lines = files("*.{jsonl,json}").text(folder).select(F.col("_metadata.file_name").alias("file"), F.from_json("value", "text string, content string").alias("r"))
-    record = lines.select("file", F.coalesce("r.text", "r.content").alias("text")).where("text is not null").select(F.concat("file", F.lit(":"), F.substring(F.md5(F.substring("text", 1, 100)), 1, 8)).alias("doc_id"), "text")
+    record = lines.select("file", F.coalesce("r.text", "r.content").alias("text")).where("text is not null").select(record_id(F.col("file"), F.col("text")).alias("doc_id"), "text")
     return whole.unionByName(record).where(F.length("text") > least)
 
 
