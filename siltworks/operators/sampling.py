@@ -8,17 +8,35 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltworks.session import stored
+
 # Default quotas of domains and difficulties.
 DOMAIN_QUOTAS = {"math": 0.20, "code": 0.18, "science": 0.15, "reasoning": 0.12, "writing": 0.10, "knowledge": 0.10, "language": 0.08, "instruction": 0.05, "other": 0.02}
 DIFFICULTY_QUOTAS = {"default": {"easy": 0.20, "medium": 0.50, "hard": 0.30}}
 
 
+def ranked(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], name: str = "rank", count: str | None = None) -> DataFrame:
+    """Adds the place (from 1) of each row within its group, and the group's size. Rows are sorted over all tasks by range
+    and numbered piece by piece, so a hot group is spread and no task holds a group alone. Ties: any order."""
+    keys = {f"_o{i}": c if isinstance(c, Column) else F.col(c) for i, c in enumerate(order)}
+    names = [F.col(k) for k in keys]
+    placed = stored(df.withColumns(keys).repartitionByRange(*groups, *names).withColumn("_p", F.spark_partition_id()))
+    pieces = placed.groupBy(*groups, "_p").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*groups)
+    # One row a group and task.
+    before = pieces.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], "_p", (F.sum("_n").over(w.orderBy("_p")) - F.col("_n")).alias("_off"), F.sum("_n").over(w).alias("_all"))
+    same = F.col("a._p") == F.col("b._p")
+    for i, g in enumerate(groups):
+        same = same & F.col(f"a.{g}").eqNullSafe(F.col(f"b._g{i}"))
+    joined = placed.alias("a").join(before.alias("b"), same).select("a.*", "_off", "_all")
+    out = joined.withColumn(name, F.row_number().over(Window.partitionBy(*groups, "_p").orderBy(*names)) + F.col("_off"))
+    return (out if count is None else out.withColumn(count, F.col("_all"))).drop("_p", "_off", "_all", *keys)
+
+
 def centroid_order(df: DataFrame, groups: Sequence[str], sim: str, tie: str) -> DataFrame:
     """Adds ``pos``: in each group 0 for the most central row, then the most peripheral first, inwards."""
-    w = Window.partitionBy(*groups)
-    r = F.row_number().over(w.orderBy(F.desc(sim), tie))
-    n = F.count("*").over(w)
-    return df.withColumn("pos", F.when(r == 1, 0).otherwise(n - r + 1).cast("int"))
+    r = ranked(df, groups, [-F.col(sim), tie], "_r", "_size")
+    return r.withColumn("pos", F.when(F.col("_r") == 1, 0).otherwise(F.col("_size") - F.col("_r") + 1).cast("int")).drop("_r", "_size")
 
 
 def cell_targets(total: int, domains: Mapping[str, float] = DOMAIN_QUOTAS, difficulties: Mapping[str, Mapping[str, float]] = DIFFICULTY_QUOTAS) -> list[tuple[str, str, int]]:
@@ -59,9 +77,13 @@ def quota_round_robin(df: DataFrame, total: int, tie: str, *, seed: int = 42, or
     cells = cell_targets(total, domains, difficulties)
     targets = df.sparkSession.createDataFrame([c for c in cells if c[2] > 0], "domain string, difficulty string, target int")
     rows = centroid_order(df.join(targets, ["domain", "difficulty"]), ["domain", "difficulty", "cluster_id"], "centroid_sim", tie)
-    ranked = rows.join(cluster_ranks(rows, seed, order, cells), ["domain", "difficulty", "cluster_id"])
-    w = Window.partitionBy("domain", "difficulty").orderBy("pos", "cluster_rank")
-    return ranked.withColumn("turn", F.row_number().over(w)).where("turn <= target")
+    # How many rows come before each turn of a cell: a table of cells by the size of their largest cluster.
+    cell = Window.partitionBy("domain", "difficulty").orderBy("pos")
+    turns = rows.groupBy("domain", "difficulty", "target", "pos").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(cell) - F.col("n")).where("before < target")
+    near = rows.join(turns.select("domain", "difficulty", "pos", "before"), ["domain", "difficulty", "pos"])
+    visited = near.join(cluster_ranks(rows, seed, order, cells), ["domain", "difficulty", "cluster_id"])
+    w = Window.partitionBy("domain", "difficulty", "pos").orderBy("cluster_rank")
+    return visited.withColumn("turn", (F.row_number().over(w) + F.col("before")).cast("int")).drop("before").where("turn <= target")
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

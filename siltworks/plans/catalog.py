@@ -680,6 +680,15 @@ def _(spark, sf):
     return vectors.own_similarity(_t(spark, sf, "embeddings"), "label", "embedding").select("vec_id", F.round("centroid_sim", 5).alias("centroid_sim"))
 
 
+@query("vec10_repaired_similarity", "WITH u AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))) AS e FROM embeddings), c AS (SELECT label, list(x ORDER BY i) AS v FROM (SELECT label, i, avg(e) AS x FROM u GROUP BY label, i) GROUP BY label), m AS (SELECT min(label) AS kept FROM embeddings) SELECT vec_id, CASE WHEN label = kept THEN 0.25 ELSE round(list_cosine_similarity(list_transform(embedding, lambda v: v::DOUBLE), c.v), 5) END AS centroid_sim FROM embeddings JOIN c USING (label), m")
+def _(spark, sf):
+    # The rows of one label have a similarity that must stay, the others the default or none.
+    e = _t(spark, sf, "embeddings")
+    kept = e.agg(F.min("label").alias("kept"))
+    old = e.select("vec_id", F.col("label").alias("cluster_id")).crossJoin(F.broadcast(kept)).withColumn("centroid_sim", F.when(F.col("cluster_id") == F.col("kept"), 0.25).when(F.col("vec_id") > 100, 0.5)).drop("kept")
+    return vectors.repair_similarities(old, "vec_id", e, "embedding").select("vec_id", F.round("centroid_sim", 5).alias("centroid_sim"))
+
+
 @query("jn9_nearest_centre", "WITH u AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))) AS e FROM embeddings), c AS (SELECT label, list(x ORDER BY i) AS v FROM (SELECT label, i, avg(e) AS x FROM u GROUP BY label, i) GROUP BY label) SELECT vec_id, arg_max(c.label, list_cosine_similarity(list_transform(embedding, lambda v: v::DOUBLE), c.v)) AS cluster FROM embeddings, c GROUP BY vec_id")
 def _(spark, sf):
     e = _t(spark, sf, "embeddings")
@@ -698,6 +707,30 @@ def _(spark, sf):
     return vectors.spherical_kmeans(_t(spark, sf, "embeddings"), "vec_id", "embedding", 10)[0].select("vec_id", "cluster")
 
 
+@query("vec2_inverted_file")
+def _(spark, sf):
+    e = _t(spark, sf, "embeddings")
+    index, centres = vectors.ivf_index(e, "vec_id", "embedding", cells=20)
+    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return vectors.ivf_search(q, "query_id", index, centres, "vec_id", "embedding", 10, probes=10).select("query_id", "vec_id", "rank")
+
+
+@query("vec5_euclidean_kmeans")
+def _(spark, sf):
+    return vectors.euclidean_kmeans(_t(spark, sf, "embeddings"), "vec_id", "embedding", 10)[0]
+
+
+@query("vec7_grouped_centroids")
+def _(spark, sf):
+    return vectors.group_centroids(vectors.centroids(_t(spark, sf, "embeddings"), "label", "embedding"), least=2)
+
+
+@query("vec9_cluster_prompts")
+def _(spark, sf):
+    p = _t(spark, sf, "clustered_prompts").where("prompt is not null").groupBy("prompt_id").agg(F.min("prompt").alias("prompt"))
+    return vectors.cluster_prompts(p, "prompt_id", "prompt", vectors.embed(spread(p), "prompt_id", "prompt"), "embedding", 20)
+
+
 @query("vec1_embed")
 def _(spark, sf):
     p = relations.first_per_key(_t(spark, sf, "prompts").select("prompt_id", "prompt"), "prompt_id", ["prompt"])
