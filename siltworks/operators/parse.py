@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-import re
+import base64
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltworks.functions.text import is_blank, strip
 
 # Phrases that introduce a conclusion.
 CONCLUSION = r"\b(?:therefore|thus|in conclusion|hence|so,|the answer is|final answer:?|in summary|to summarize)\b"
+# Fixed value: the pattern by which public byte-level tokenizers cut texts before merging.
+TOKEN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Labels of the annotation vocabulary.
 DOMAINS = ["math", "code", "science", "reasoning", "writing", "language", "knowledge", "instruction", "other"]
 DIFFICULTIES = ["easy", "medium", "hard"]
@@ -112,8 +117,16 @@ def prompt_of_value(value: Column) -> Column:
     return F.when(t == "", None).when(t.startswith("[") & valid, state["prompt"]).when(t.startswith("{") & valid, F.when(single != "", single)).otherwise(t)
 
 
-def field(path: str) -> Column:
+def field(df: DataFrame, path: str) -> Column:
     """A dotted path into nested columns; null where a step is missing."""
+    kind: T.DataType = df.schema
+    for step in path.split("."):
+        if isinstance(kind, T.StructType) and step in kind.names:
+            kind = kind[step].dataType
+        elif isinstance(kind, T.MapType):
+            kind = kind.valueType
+        else:
+            return F.lit(None).cast("string")
     return F.col(path)
 
 
@@ -121,12 +134,13 @@ _ANNOTATION = "domain string, topics array<string>, difficulty string, language
 
 
 def json_object(text: Column) -> Column:
-    """The JSON object in model output, as text: without thoughts and fences, directly or from its first to its last brace."""
+    """The JSON object in model output, as text, without thoughts: what a fence holds, else the whole, else from the first to
+    the last brace."""
     t = strip(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?is)<think>.*?</think>", ""))
-    t = strip(F.regexp_replace(F.regexp_replace(t, r"^```(?:json)?\s*", ""), r"`+$", ""))
+    fenced = strip(F.regexp_extract(t, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1))
     inner = F.regexp_extract(t, r"(?s)(\{.*\})", 1)
     is_object = lambda c: c.startswith("{") & F.try_parse_json(c).isNotNull()
-    return F.when(is_object(t), t).when(is_object(inner), inner)
+    return F.when(is_object(fenced), fenced).when(is_object(t), t).when(is_object(inner), inner)
 
 
 def parse_annotation(text: Column) -> Column:
@@ -142,10 +156,15 @@ def parse_annotation(text: Column) -> Column:
 
 
 def parse_generated(text: Column, least: int = 20) -> Column:
-    """Prompts out of generator output: the strings of a JSON list, else all quoted strings; those of at least ``least``
-    characters."""
-    listed = F.from_json(F.regexp_extract(F.coalesce(text, F.lit("")), r"(?s)(\[.*\])", 1), "array<string>")
-    quoted = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f'"([^"]{{{least},}})"'), 1)
+    """Prompts out of generator output: the strings of a JSON list, also of one with a comma too many or without its end,
+    else all quoted strings; those of at least ``least`` characters."""
+    t = F.coalesce(text, F.lit(""))
+    whole = F.regexp_extract(t, r"(?s)(\[.*\])", 1)
+    begun = F.regexp_extract(t, r"(?s)(\[.*)", 1)
+    mended = F.regexp_replace(whole, r",\s*\]", "]")
+    closed = F.concat(F.regexp_replace(begun, r"(?s),?\s*(?:\"[^\"]*)?$", ""), F.lit("]"))
+    listed = F.coalesce(*[F.when(F.try_parse_json(c).isNotNull(), F.from_json(c, "array<string>")) for c in (whole, mended, closed)])
+    quoted = F.regexp_extract_all(t, F.lit(f'"([^"]{{{least},}})"'), 1)
     return F.filter(F.transform(F.coalesce(listed, quoted), strip), lambda x: F.length(x) >= least)
 
 
@@ -181,3 +200,37 @@ def chunk_documents(docs: DataFrame, id_col: str, text_col: str, *, least: int =
     rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(char_chunks(F.col(text_col), **sizes)).alias("chunk_no", "chunk"))
     named = rows.where(F.length(strip(F.col("chunk"))) > least).withColumn("chunk_id", F.concat(F.col("doc_id").cast("string"), F.lit(":chunk_"), F.format_string("%04d", "chunk_no")))
     return named.select("doc_id", "chunk_no", "chunk_id", F.substring(F.sha2("chunk_id", 256), 1, 32).alias("chunk_hash"), "chunk")
+
+
+def token_chunks(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, *, size: int = 1024, overlap: int = 128, least: int = 50) -> DataFrame:
+    """(doc_id, chunk_no, chunk): windows of at most ``size`` tokens of a public byte-level tokenizer, which begin ``overlap``
+    tokens before the end of the one before. A window that isn't the last ends after its last paragraph, sentence or word
+    within the second half, whichever of them comes first in this order; chunks of ``least`` characters or fewer are left out.
+    ``vocabulary``: a file of base64 tokens and ranks. Null ids or texts are left out."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import tiktoken
+
+        with open(vocabulary, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        e = tiktoken.Encoding("chunks", pat_str=TOKEN_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        for b in batches:
+            rows = []
+            for i, t in zip(b["id"], b["text"], strict=True):
+                tokens, lo, n = e.encode_ordinary(t), 0, 0
+                while lo < len(tokens):
+                    text, last = e.decode(tokens[lo : lo + size], errors="ignore"), lo + size >= len(tokens)
+                    if not last:
+                        stop = next((k + len(m) for m in ("\n\n", "\n", ". ", " ") if (k := text.rfind(m, len(text) // 2)) >= 0), len(text))
+                        text = text[:stop]
+                    if len(text.strip()) > least:
+                        rows.append((i, n, text))
+                    n += 1
+                    if last:
+                        break
+                    lo += max(1, len(e.encode_ordinary(text)) - overlap)
+            yield pd.DataFrame(rows, columns=["doc_id", "chunk_no", "chunk"])
+
+    narrow = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return narrow.mapInPandas(run, f"doc_id {id_type}, chunk_no int, chunk string")

@@ -46,15 +46,24 @@ def with_columns_or(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
     return df.withColumns({c: v for c, v in defaults.items() if c not in df.columns})
 
 
-def overlay(base: DataFrame, updates: DataFrame, key: str, columns: Mapping[str, Column]) -> DataFrame:
-    """base with columns taken from updates where they say something: not null and not empty; else from base; else a default."""
-    new = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns if c in updates.columns]).dropDuplicates([key])
+def overlay(base: DataFrame, updates: DataFrame, key: str, columns: Mapping[str, Column], order: str | None = None) -> DataFrame:
+    """base with columns taken from updates where they say something: not null and not empty; else from base; else a default.
+    Of a key's updates the last in the order counts, or the greatest row where there is none."""
+    taken = [c for c in columns if c in updates.columns]
+    last = F.max(F.struct(*([F.col(order).alias("_order")] if order else []), *[F.col(c) for c in taken]))
+    new = updates.where(F.col(key).isNotNull()).groupBy(key).agg(last.alias("_u")).select(key, *[F.col(f"_u.{c}").alias(f"_new_{c}") for c in taken])
     joined = base.join(new, key, "left")
     said = lambda c: F.when(F.col(c).cast("string") != "", F.col(c))
     pick = {c: F.coalesce(*([said(f"_new_{c}")] if c in updates.columns else []), *([said(c)] if c in base.columns else []), d) for c, d in columns.items()}
     return joined.withColumns(pick).drop(*[f"_new_{c}" for c in columns])
 
 
+def with_cluster(df: DataFrame, results: DataFrame, key: str) -> DataFrame:
+    """df with the cluster and similarity of each key; -1 and 0.5 where the results lack it. Of repeated results the greatest."""
+    found = results.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct("cluster_id", "centroid_sim")).alias("_c"))
+    return df.join(found, key, "left").withColumns({"cluster_id": F.coalesce("_c.cluster_id", F.lit(-1)), "centroid_sim": F.coalesce("_c.centroid_sim", F.lit(0.5))}).drop("_c")
+
+
 def report_row(df: DataFrame, key: Column, name: str) -> Column:
     """An aggregate: counts by a key as one map."""
     return F.map_from_entries(F.collect_list(F.struct(key, F.col("n")))).alias(name)

@@ -179,6 +179,12 @@ def _(spark, sf):
     return _responses(spark, sf).select("response_id", F.size(F.array_intersect(r, a)).cast("long").alias("shared"), F.size(F.array_except(a, r)).cast("long").alias("only_answer"))
 
 
+@query("jn3_cluster_lookup", "SELECT p.rec_no, coalesce(c.cluster_id, -1) AS cluster_id, coalesce(c.centroid_sim, 0.5) AS centroid_sim FROM prompts p LEFT JOIN (SELECT prompt_id, r.cluster_id AS cluster_id, r.centroid_sim AS centroid_sim FROM (SELECT prompt_id, max({'cluster_id': coalesce(cluster_id, -9), 'centroid_sim': coalesce(centroid_sim, -9)}) AS r FROM clustered_prompts GROUP BY prompt_id)) c USING (prompt_id)")
+def _(spark, sf):
+    c = _t(spark, sf, "clustered_prompts").select("prompt_id", F.coalesce("cluster_id", F.lit(-9)).alias("cluster_id"), F.coalesce(F.col("centroid_sim").cast("double"), F.lit(-9.0)).alias("centroid_sim"))
+    return relations.with_cluster(_t(spark, sf, "prompts").select("rec_no", "prompt_id"), c, "prompt_id").select("rec_no", "cluster_id", "centroid_sim")
+
+
 @query("jn4_overlay", "SELECT p.rec_no, coalesce(nullif(c.domain, ''), nullif(p.domain, ''), 'general') AS domain, coalesce(nullif(c.difficulty, ''), 'medium') AS difficulty FROM prompts p LEFT JOIN (SELECT prompt_id, min(domain) AS domain, min(difficulty) AS difficulty FROM clustered_prompts GROUP BY prompt_id) c USING (prompt_id)")
 def _(spark, sf):
     c = _t(spark, sf, "clustered_prompts").groupBy("prompt_id").agg(F.min("domain").alias("domain"), F.min("difficulty").alias("difficulty"))
@@ -846,8 +852,8 @@ def _(spark, sf):
 
 @query("ext1_nested_field", "SELECT doc_id, source AS a_b, NULL AS a_c FROM documents")
 def _(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", F.struct(F.col("source").alias("b"), F.lit(None).cast("string").alias("c")).alias("a"))
-    return d.select("doc_id", parse.field("a.b").alias("a_b"), parse.field("a.c").alias("a_c"))
+    d = _t(spark, sf, "documents").select("doc_id", F.struct(F.col("source").alias("b")).alias("a"))
+    return d.select("doc_id", parse.field(d, "a.b").alias("a_b"), parse.field(d, "a.missing.c").alias("a_c"))
 
 
 @query("nrm7_prefix", "SELECT doc_id, substr(text, 1, 400) AS head FROM documents WHERE text IS NOT NULL")
@@ -951,6 +957,21 @@ def _(spark, sf):
     return p.select("rec_no", F.lit(-1).alias("cluster_id"), labels.prompt_domain(F.col("prompt")).alias("domain"), labels.difficulty(F.col("prompt")).alias("difficulty"))
 
 
+@query("prs6_judge_json", "SELECT vec_id, label AS score FROM embeddings")
+def _(spark, sf):
+    said = F.concat(F.lit("<think>{a}</think>Score {rough} below\n```json\n{\"score\": "), F.col("label").cast("string"), F.lit("}\n```\nand {more}"))
+    e = _t(spark, sf, "embeddings").select("vec_id", parse.json_object(said).alias("j"))
+    return e.select("vec_id", F.get_json_object("j", "$.score").cast("int").alias("score"))
+
+
+@query("extc1_generated", "SELECT prompt_id, i AS place, substr(p, i * 20 + 1, 20) AS text FROM (SELECT prompt_id, regexp_replace(min(prompt), '[^A-Za-z0-9]', '', 'g') AS p FROM prompts WHERE prompt_id IS NOT NULL GROUP BY prompt_id) t, (SELECT unnest([0, 1])::INT AS i) WHERE length(p) >= 40")
+def _(spark, sf):
+    # The stand-in lists a prompt's letters in pieces of 20, with a comma too many.
+    p = relations.first_per_key(_t(spark, sf, "prompts").select("prompt_id", "prompt"), "prompt_id", ["prompt"])
+    p = p.select("prompt_id", F.regexp_replace("prompt", "[^A-Za-z0-9]", "").alias("prompt")).where(F.length("prompt") >= 40)
+    return external.generate(p, "prompt_id", "prompt", external.listing_client)
+
+
 @query("extc_model_calls", f"SELECT prompt_id, concat('<answer>', array_to_string({_words('p')}[1:5], ' '), '</answer>') AS answer, true AS complete FROM (SELECT prompt_id, min(prompt) AS p FROM prompts WHERE prompt_id IS NOT NULL GROUP BY prompt_id)")
 def _(spark, sf):
     p = relations.first_per_key(_t(spark, sf, "prompts").select("prompt_id", "prompt"), "prompt_id", ["prompt"])
