@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import uuid
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -78,12 +78,13 @@ class Searcher:
             h = h * np.uint64(0x100000001B3) + a[start + j]
         return h
 
-    def find(self, text: bytes) -> list[tuple[int, int]]:
-        """(position, pattern) of every occurrence."""
+    def candidates(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, buckets) at which the window of some pattern stands."""
+        none = np.zeros(0, np.int64)
         a = np.frombuffer(text, np.uint8)
         last = len(a) - self.m
         if not self.patterns or last < 0:
-            return []
+            return none, none
         width = max(64, -(-(last + 1) // LANES))
         at = np.arange(0, last + 1, width)
         until = np.minimum(at + width, last + 1)
@@ -98,18 +99,18 @@ class Searcher:
             if not live.all():
                 at, until = at[live], until[live]
         if not hits:
-            return []
+            return none, none
         start = np.concatenate(hits)
         h = self._window(a, start)
         k = np.searchsorted(self.keys, h)
         k[k == len(self.keys)] = 0
         ok = self.keys[k] == h
-        out = []
-        for pos, b in zip(start[ok].tolist(), k[ok].tolist(), strict=True):
-            for i in self.bucket[b]:
-                if text.startswith(self.patterns[i], pos):
-                    out.append((pos, i))
-        return out
+        return start[ok], k[ok]
+
+    def find(self, text: bytes) -> list[tuple[int, int]]:
+        """(position, pattern) of every occurrence."""
+        start, bucket = self.candidates(text)
+        return [(pos, i) for pos, b in zip(start.tolist(), bucket.tolist(), strict=True) for i in self.bucket[b] if text.startswith(self.patterns[i], pos)]
 
 
 #: Patterns of fewer bytes have a search of their own, since the shortest pattern bounds the shifts of all.
@@ -117,15 +118,36 @@ TINY = 6
 
 
 class Search:
-    """Searchers of the tiny and of the other patterns as one."""
+    """Searchers of the tiny and of the other patterns as one. Patterns are runs of words between blanks, each with owners."""
 
     def __init__(self, patterns: dict[bytes, list[tuple[int, int]]]):
         parts = [{p: o for p, o in patterns.items() if (len(p) < TINY) == tiny} for tiny in (False, True)]
         self.searchers = [Searcher(x) for x in parts if x]
-
-    def find(self, text: bytes) -> list[tuple[int, list[tuple[int, int]]]]:
-        """(position, owners) of every occurrence."""
-        return [(at, s.owners[i]) for s in self.searchers for at, i in s.find(text)]
+        self.number = {p: i for i, p in enumerate(patterns)}
+        self.sizes = sorted({p.count(b" ") - 1 for p in patterns})
+        owners = list(patterns.values())
+        self.first = np.concatenate(([0], np.cumsum([len(o) for o in owners]))).astype(np.int64)
+        self.item = np.array([i for o in owners for i, _ in o], np.int64)
+        self.place = np.array([k for o in owners for _, k in o], np.int64)
+
+    def find(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(position, pattern) of every occurrence. The runs of words at a candidate are compared by looking them up, so a
+        window that many patterns begin with costs no more than any other."""
+        blank = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
+        pos, pattern = [], []
+        for s in self.searchers:
+            start, _ = s.candidates(text)
+            at = np.searchsorted(blank, start)
+            ok = at < len(blank)
+            start, at = start[ok], at[ok]
+            for n in self.sizes:
+                end = blank[np.minimum(at + n, len(blank) - 1)] + 1
+                for x, y in zip(start.tolist(), end.tolist(), strict=True):
+                    if (i := self.number.get(text[x:y])) is not None:
+                        pos.append(x)
+                        pattern.append(i)
+        found = np.unique(np.array([pos, pattern], np.int64).reshape(2, -1), axis=1)
+        return found[0], found[1]
 
 
 _built: dict[str, Search] = {}
@@ -177,18 +199,87 @@ def least_runs(n: int, gram: int) -> int:
     return max(1, min(s - s // 4 - (gram - 1) * (s // 4 + 1) for s in range(-(-n // 2), n + 1)) // 2)
 
 
-def common_words(item: Sequence[str], text: Sequence[str]) -> int:
-    """The length of the longest common subsequence, which no passage's matched words exceed."""
+def word_places(item: Sequence[str]) -> dict[str, int]:
+    """Of every word of an item its places as bits."""
     at: dict[str, int] = defaultdict(int)
     for i, w in enumerate(item):
         at[w] |= 1 << i
-    full = (1 << len(item)) - 1
+    return dict(at)
+
+
+def common_words(n: int, places: dict[str, int], text: Sequence[str]) -> int:
+    """The length of the longest common subsequence with an item of n words, which no passage's matched words exceed."""
+    full = (1 << n) - 1
     v = full
     for w in text:
-        if w in at:
-            u = v & at[w]
+        if (p := places.get(w)) is not None:
+            u = v & p
             v = (v + u | v - u) & full
-    return len(item) - v.bit_count()
+    return n - v.bit_count()
+
+
+#: Bytes of the table of word places by which many pairs' common subsequences are found at once.
+TABLE_BYTES = 1 << 26
+
+
+class Vocabulary:
+    """The words of a set of items: how many of an item's words a text can match at most, for many pairs at once."""
+
+    def __init__(self, items: Sequence[Sequence[str]]):
+        self.number = {w: i for i, w in enumerate(sorted({w for x in items for w in x}))}
+        counts = [Counter(self.number[w] for w in x) for x in items]
+        self.first = np.concatenate(([0], np.cumsum([len(c) for c in counts]))).astype(np.int64)
+        self.word = np.array([w for c in counts for w in c], np.int64)
+        self.count = np.array([n for c in counts for n in c.values()], np.int64)
+        self.places = [word_places(x) for x in items]
+        self.size = np.array([len(x) for x in items], np.int64)
+
+    def most(self, texts: Sequence[Sequence[str]], text: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Of each pair (text, item) how many of the item's words occur in the text, wherever they stand."""
+        there = np.zeros((len(texts), len(self.number) + 1), bool)
+        for d in np.unique(text).tolist():
+            there[d, [self.number.get(w, -1) for w in texts[d]]] = True
+        there[:, -1] = False
+        out = np.zeros(len(text), np.int64)
+        for lo in range(0, len(text), 50_000):
+            i = item[lo : lo + 50_000]
+            n = self.first[i + 1] - self.first[i]
+            begin = np.cumsum(n) - n
+            at = np.arange(int(n.sum())) - np.repeat(begin, n) + np.repeat(self.first[i], n)
+            seen = self.count[at] * there[np.repeat(text[lo : lo + 50_000], n), self.word[at]]
+            out[lo : lo + len(i)] = np.add.reduceat(seen, begin) if len(i) else 0
+        return out
+
+
+    def common(self, texts: Sequence[Sequence[str]], text: np.ndarray, item: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """common_words() of each item with the words lo to hi of the text, for many pairs in step."""
+        out = np.zeros(len(text), np.int64)
+        long = self.size[item] > 62
+        for i in np.flatnonzero(long).tolist():
+            out[i] = common_words(int(self.size[item[i]]), self.places[item[i]], texts[text[i]][lo[i] : hi[i]])
+        ids = {d: np.array([self.number.get(w, len(self.number)) for w in texts[d]], np.int64) for d in np.unique(text).tolist()}
+        at_once = max(1, TABLE_BYTES // 8 // (len(self.number) + 1))
+        short = np.flatnonzero(~long)
+        for block in np.unique(item[short] // at_once).tolist():
+            rows = short[item[short] // at_once == block]
+            table = np.zeros((at_once, len(self.number) + 1), np.uint64)
+            for i in np.unique(item[rows]).tolist():
+                for w, p in self.places[i].items():
+                    table[i - block * at_once, self.number[w]] = p
+            end = np.minimum(hi[rows], np.array([len(ids[d]) for d in text[rows].tolist()], np.int64))
+            n = np.maximum(end - lo[rows], 0)
+            order = np.argsort(-n, kind="stable")
+            rows, n = rows[order], n[order]
+            flat = np.concatenate([ids[d][x : x + m] for d, x, m in zip(text[rows].tolist(), lo[rows].tolist(), n.tolist(), strict=True)]) if len(rows) else np.zeros(0, np.int64)
+            first, mine = np.cumsum(n) - n, item[rows] - block * at_once
+            full = (np.uint64(1) << self.size[item[rows]].astype(np.uint64)) - np.uint64(1)
+            v = full.copy()
+            for t in range(int(n[0]) if len(n) else 0):
+                k = int(np.searchsorted(-n, -t, side="left"))
+                u = v[:k] & table[mine[:k], flat[first[:k] + t]]
+                v[:k] = (v[:k] + u | v[:k] - u) & full[:k]
+            out[rows] = self.size[item[rows]] - np.bitwise_count(v).astype(np.int64)
+        return out
 
 
 def _patterns(items: Sequence[Sequence[str]], gram: int, short_gram: int, whole_words: int) -> dict[bytes, list[tuple[int, int]]]:
@@ -206,7 +297,9 @@ def _search(items: list[list[str]], ids: list, gram: int, short_gram: int, whole
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         searcher = _search_of(token, items, gram, short_gram, whole_words)
         size = [short_gram if len(w) <= whole_words else gram for w in items]
-        least = [least_runs(len(w), gram) if len(w) > whole_words else 0 for w in items]
+        least = np.array([least_runs(len(w), gram) if len(w) > whole_words else 0 for w in items], np.int64)
+        vocabulary = Vocabulary(items)
+        lengths = vocabulary.size
         for b in batches:
             texts, keys = b["text"].tolist(), b["id"].tolist()
             rows = []
@@ -215,29 +308,41 @@ def _search(items: list[list[str]], ids: list, gram: int, short_gram: int, whole
                 parts = [(" " + " ".join(w) + " ").encode() for w in words]
                 offsets = np.concatenate(([0], np.cumsum([len(p) + 1 for p in parts])))
                 joined = b"\n".join([*parts, b""])
-                hits = searcher.find(joined)
-                if not hits:
+                pos, pattern = searcher.find(joined)
+                if not len(pos):
                     continue
-                pos = np.array([p for p, _ in hits])
                 doc = np.searchsorted(offsets, pos, side="right") - 1
                 blanks = np.concatenate(([0], np.cumsum(np.frombuffer(joined, np.uint8) == 32)))
                 word = blanks[pos] - blanks[offsets[doc]]
-                found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-                for d, w, (_, owners) in zip(doc.tolist(), word.tolist(), hits, strict=True):
-                    for item, k in owners:
-                        found[d, item].append((w, k))
-                for (d, item), at in found.items():
+                # Every occurrence with every owner of its pattern, grouped by (text, item).
+                many = searcher.first[pattern + 1] - searcher.first[pattern]
+                hit = np.repeat(np.arange(len(pos)), many)
+                own = np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many) + searcher.first[pattern[hit]]
+                pair, k, shift = doc[hit] * len(items) + searcher.item[own], searcher.place[own], word[hit] - searcher.place[own]
+                order = np.lexsort((k, pair))
+                pair, k, shift = pair[order], k[order], shift[order]
+                begin = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+                fresh = np.concatenate(([True], (pair[1:] != pair[:-1]) | (k[1:] != k[:-1])))
+                runs = np.add.reduceat(fresh.astype(np.int64), begin)
+                low, high = np.minimum.reduceat(shift, begin), np.maximum.reduceat(shift, begin)
+                d_of, item_of = pair[begin] // len(items), pair[begin] % len(items)
+                good = np.flatnonzero(runs >= least[item_of])
+                # No more words can match than stand anywhere in the text.
+                good = good[vocabulary.most(words, d_of[good], item_of[good]) >= 0.375 * lengths[item_of[good]]]
+                from_, to = np.maximum(low[good] - 8, 0), high[good] + lengths[item_of[good]] + 8
+                enough = vocabulary.common(words, d_of[good], item_of[good], from_, to) >= 0.375 * lengths[item_of[good]]
+                keep = enough | (lengths[item_of[good]] <= whole_words)
+                ends = np.append(begin[1:], len(pair))
+                for g, x, y in zip(good[keep].tolist(), from_[keep].tolist(), to[keep].tolist(), strict=True):
+                    d, item = int(d_of[g]), int(item_of[g])
                     n = len(items[item])
-                    if n > whole_words:
-                        if len({k for _, k in at}) < least[item]:
-                            continue
-                    elif len({k + x for _, k in at for x in range(size[item])}) < 0.5 * n:
-                        continue
-                    lo_w = max(0, min(w - k for w, k in at) - 8)
-                    hi_w = max(w + n - k for w, k in at) + 8
-                    if n > whole_words and common_words(items[item], words[d][lo_w:hi_w]) < 0.375 * n:
+                    if n <= whole_words and len({a + b for a in k[begin[g] : ends[g]].tolist() for b in range(size[item])}) < 0.5 * n:
                         continue
-                    span, matched = passage(items[item], words[d][lo_w:hi_w])
+                    part = words[d][x:y]
+                    # A best passage begins and ends with words of the item.
+                    mine = [i for i, w in enumerate(part) if w in vocabulary.places[item]]
+                    part = part[mine[0] : mine[-1] + 1]
+                    span, matched = passage(items[item], part)
                     if leaks(n, span, matched, whole_words):
                         rows.append((keys[lo + d], ids[item], matched / n))
             yield pd.DataFrame(rows, columns=["id", "item", "share"]).astype({"share": "float64"})

@@ -17,4 +17,25 @@ def test_a_tiny_pattern_does_not_shorten_the_shifts_of_the_others():
     patterns = {b" x ": [(0, 0)], b" the amber valve ": [(1, 0)], b" of the old mill ": [(2, 0)]}
     s = leak.Search(patterns)
     assert max(x.shift.max() for x in s.searchers) >= 14
-    assert sorted(s.find(b" turn the amber valve x of the old mill ")) == [(5, [(1, 0)]), (21, [(0, 0)]), (23, [(2, 0)])]
+    pos, pattern = s.find(b" turn the amber valve x of the old mill ")
+    names = list(patterns)
+    assert sorted((p, names[i]) for p, i in zip(pos.tolist(), pattern.tolist(), strict=True)) == [(5, names[1]), (21, names[0]), (23, names[2])]
+
+
+def test_common_words_of_many_pairs_in_step(monkeypatch):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    items = [[f"w{rng.randrange(12)}" for _ in range(rng.choice([3, 14, 40, 62, 63, 90]))] for _ in range(40)]
+    texts = [[f"w{rng.randrange(16)}" for _ in range(rng.randrange(0, 120))] for _ in range(20)]
+    text, item = np.array([rng.randrange(20) for _ in range(300)]), np.array([rng.randrange(40) for _ in range(300)])
+    lo = np.array([rng.randrange(30) for _ in range(300)])
+    hi = lo + np.array([rng.randrange(100) for _ in range(300)])
+    want = [leak.common_words(len(items[i]), leak.word_places(items[i]), texts[t][x:y]) for t, i, x, y in zip(text, item, lo, hi)]
+    for size in (1 << 26, 8 * 16 * 3):
+        monkeypatch.setattr(leak, "TABLE_BYTES", size)
+        assert leak.Vocabulary(items).common(texts, text, item, lo, hi).tolist() == want
+    most = leak.Vocabulary(items).most(texts, text, item)
+    assert most.tolist() == [sum(w in set(texts[t]) for w in items[i]) for t, i in zip(text, item)] and all(m >= w for m, w in zip(most, want))

@@ -125,7 +125,7 @@ def test_common_words_bound_a_passage():
         d = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
         for i, j in itertools.product(range(len(a)), range(len(b))):
             d[i + 1][j + 1] = d[i][j] + 1 if a[i] == b[j] else max(d[i][j + 1], d[i + 1][j])
-        assert leak.common_words(a, b) == d[-1][-1] >= leak.passage(a, b)[1]
+        assert leak.common_words(len(a), leak.word_places(a), b) == d[-1][-1] >= leak.passage(a, b)[1]
 
 
 def test_leaks_short_items_only_whole(spark):
