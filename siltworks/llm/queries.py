@@ -72,7 +72,8 @@ def p3_sample(spark: SparkSession, sf: str) -> DataFrame:
 def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     """The targets with what is there, what was taken and the share reached."""
     c = _table(spark, sf, "clustered_prompts").select("prompt_id", *_CELL)
-    return quota.quota_sample(c, "prompt_id", _CELL, _table(spark, sf, "quota_targets"))[1]
+    report = quota.quota_sample(c, "prompt_id", _CELL, _table(spark, sf, "quota_targets"))[1]
+    return report.withColumns({"wanted": F.round("wanted", 6), "share": F.round("share", 6)})
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,8 +190,12 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can express; the others are tested against brute force or held-out rows."""
     cell = "lower(trim(domain)) AS d, lower(trim(difficulty)) AS x"
-    counts = f"""WITH ids AS (SELECT prompt_id, min(d) AS d, min(x) AS x FROM (SELECT prompt_id, {cell} FROM clustered_prompts WHERE prompt_id IS NOT NULL) GROUP BY prompt_id),
+    counts = f"""WITH ids AS (SELECT prompt_id, least.d AS d, least.x AS x FROM (SELECT prompt_id, min({{'d': d, 'x': x}}) AS least FROM (SELECT prompt_id, {cell} FROM clustered_prompts WHERE prompt_id IS NOT NULL) GROUP BY prompt_id)),
 c AS (SELECT d, x, count(*) AS available FROM ids GROUP BY d, x),
-t AS (SELECT q.domain, q.difficulty, q.target_share, q.min_rows, coalesce(c.available, 0) AS available, q.target_share * (SELECT count(*) // 4 FROM ids) AS wanted
+t AS (SELECT q.domain, q.difficulty, q.target_share, q.min_rows, coalesce(c.available, 0) AS available, q.target_share * (SELECT count(*) // 4 FROM ids) AS wanted, (SELECT count(*) // 4 FROM ids) AS n
   FROM (SELECT *, {cell} FROM quota_targets) q LEFT JOIN c ON q.d = c.d AND q.x = c.x)"""
-    return {"p3_found": f"{counts} SELECT domain, difficulty FROM t WHERE available < min_rows OR available < wanted"}
+    quotas = """, b AS (SELECT *, floor(wanted)::BIGINT AS base, row_number() OVER (ORDER BY floor(wanted) - wanted, concat(lower(trim(domain)), chr(31), lower(trim(difficulty)))) AS place FROM t),
+s AS (SELECT round(least(sum(wanted), max(n)))::BIGINT - sum(base) AS spare FROM b),
+q AS (SELECT b.*, least(available, greatest(coalesce(min_rows, 0), base + CASE WHEN place <= spare THEN 1 ELSE 0 END)) AS taken FROM b, s)
+SELECT domain, difficulty, target_share, min_rows, available, round(wanted, 6) AS wanted, taken, round(taken / greatest(1, sum(taken) OVER ()), 6) AS share, available < min_rows OR available < wanted AS exhausted FROM q"""
+    return {"p3_found": f"{counts} SELECT domain, difficulty FROM t WHERE available < min_rows OR available < wanted", "p3_report": counts + quotas}
