@@ -1,4 +1,8 @@
-"""Abuse scoring on sentences that neither the test tables nor the lexicons hold."""
+"""Abuse scoring on sentences that aren't in the test tables.
+
+BAD and GOOD are development sentences: ridge, vote start and smoothing were chosen while looking at them, and many hold words
+of the lexicons. FRESH_BAD and FRESH_GOOD were written after that and scored once; don't tune on them.
+"""
 
 import numpy as np
 import pandas as pd
@@ -107,6 +111,59 @@ GOOD = [
     "The stranger bought a map and left.",
 ]
 
+FRESH_BAD = [
+    "You gormless pillock, nobody wants you on this team.",
+    "Your whole family should be ashamed that you exist.",
+    "People like the Flemings ruin every town they settle in.",
+    "I'll make sure you never walk again.",
+    "Keep talking and somebody is going to put you in hospital.",
+    "The Sardinians are a disease and we need to clear them out.",
+    "No decent employer should let a Moravian through the door.",
+    "What an utterly useless excuse for a human being.",
+    "She tore off his trousers and took him in her mouth.",
+    "They were screwing in the back of the car all evening.",
+    "You're dumber than a bag of rocks, sit down.",
+    "I know your kids' school, and I will be waiting there.",
+    "Du bist doch zu blöd zum Atmen.",
+    "Ich schlag dir die Zähne aus, wenn du noch einmal schreibst.",
+    "Die Friesen sind doch alle Schmarotzer und sollen verschwinden.",
+    "Eres más tonto que una piedra, lárgate.",
+    "Los gallegos son basura y habría que expulsarlos a todos.",
+    "Te voy a partir las piernas, cabrón.",
+    "Les Corses sont des parasites, qu'on les expulse.",
+    "Tu es vraiment trop con, ferme ta bouche.",
+    "Je vais te casser la figure demain.",
+    "You are a disgrace and a coward.",
+    "Burn in hell, you rotten snake.",
+    "Women like you belong in a cage.",
+]
+FRESH_GOOD = [
+    "The Flemings exported cloth to most of Europe.",
+    "The Sardinians make a hard cheese from sheep's milk.",
+    "You should never walk on the ice before January.",
+    "A disease spread through the vineyard and the growers had to clear the rows.",
+    "The useless argument is dropped before the next call.",
+    "They were screwing the panels to the frame all evening.",
+    "You will be waiting for the result about two seconds.",
+    "The mouth of the river moves every spring.",
+    "Rocks of this kind are harder than glass.",
+    "The judge asked the witness whether he had threatened anyone.",
+    "A snake sheds its skin several times a year.",
+    "If you kill the job, the lock file stays behind.",
+    "She was ashamed of the mistake in her proof.",
+    "The cage keeps the bearing balls apart.",
+    "Die Friesen bauten früh Deiche an der Küste.",
+    "Wenn du noch einmal schreibst, nenne bitte die Nummer.",
+    "Ich schlage vor, den zweiten Schritt zuerst zu tun.",
+    "Los gallegos pescan mejillones en las rías.",
+    "Voy a partir el problema en tres casos.",
+    "Les Corses parlent aussi leur propre langue.",
+    "Je vais te donner un exemple demain.",
+    "The paper studies insults such as idiot and coward in old letters.",
+    "The burn unit admitted nine patients after the fire.",
+    "You are given a graph with weighted edges.",
+]
+
 
 @pytest.fixture(scope="module")
 def fitted():
@@ -121,12 +178,18 @@ def scores(classifier, texts):
     return out
 
 
-def test_held_out_groups_insults_and_threats(fitted):
+def test_development_sentences(fitted):
     bad, good = scores(fitted[1], BAD) >= 0.5, scores(fitted[1], GOOD) >= 0.5
     assert bad.mean() >= 0.9
     assert bad.sum() / (bad.sum() + good.sum()) >= 0.9
 
 
+def test_fresh_sentences_are_no_worse_than_first_measured(fitted):
+    """First measured: 8 of 24 found, 1 of 24 flagged wrongly. Most of the missed ones hold no word of any lexicon."""
+    bad, good = scores(fitted[1], FRESH_BAD) >= 0.5, scores(fitted[1], FRESH_GOOD) >= 0.5
+    assert bad.sum() >= 8 and good.sum() <= 1
+
+
 def test_group_names_do_not_matter(fitted):
     texts = [f"Those {g} are vermin and should be driven out." for g in ("Bretons", "Walloons", "Tasmanians", "zorblaxes")]
     assert (scores(fitted[1], texts) >= 0.5).all()
