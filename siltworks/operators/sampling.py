@@ -91,10 +91,12 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
 
 
-def window_per_group(df: DataFrame, group: str, order: Sequence[str], skip: int, n: int) -> DataFrame:
-    """The rows of each group after the first ``skip``, n of them."""
+def window_per_group(df: DataFrame, group: str, order: Sequence[str], skip: int, n: int, *, scan: int | None = None) -> DataFrame:
+    """The rows of each group after the first ``skip``, n of them, out of the first ``scan`` rows of the whole table if that is
+    stated. Only the first rows of each group, and those of the scan, are kept while sorting."""
+    seen = df if scan is None else df.orderBy(*order).limit(scan)
     w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("_r", F.row_number().over(w)).where((F.col("_r") > skip) & (F.col("_r") <= skip + n)).drop("_r")
+    return seen.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= skip + n).where(F.col("_r") > skip).drop("_r")
 
 
 def page(df: DataFrame, order: Sequence[str | Column], number: int, size: int = 10) -> DataFrame:

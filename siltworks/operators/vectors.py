@@ -301,7 +301,8 @@ def cluster_prompts(prompts: DataFrame, id_col: str, text: str, vectors: DataFra
 
 
 def repair_similarities(df: DataFrame, id_col: str, vectors: DataFrame, vector: str, *, cluster: str = "cluster_id", sim: str = "centroid_sim", default: float = 0.5) -> DataFrame:
-    """df with ``sim`` computed anew where it is missing or the default, from the vectors joined by id; kept elsewhere."""
+    """df with ``sim`` computed anew where it is missing or the default, from the vectors joined by id; kept elsewhere. A
+    cluster's centroid is that of its rows in df; a row without a vector or a cluster gets the default."""
     joined = df.join(vectors.select(id_col, F.col(vector).alias("_v")), id_col, "left")
     c = centroids(joined.where(F.col(cluster) >= 0), cluster, "_v").withColumnsRenamed({"cluster": cluster, "centroid": "_c"})
     new = F.coalesce(cosine(F.col("_v"), F.col("_c")), F.lit(default))

@@ -695,6 +695,14 @@ def _(spark, sf):
     return vectors.repair_similarities(old, "vec_id", e, "embedding").select("vec_id", F.round("centroid_sim", 5).alias("centroid_sim"))
 
 
+@query("jn7_similarity_or_default", "WITH u AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))) AS e FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)), c AS (SELECT label, list(x ORDER BY i) AS v FROM (SELECT label, i, avg(e) AS x FROM u GROUP BY label, i) GROUP BY label) SELECT d.doc_id, coalesce(round(list_cosine_similarity(list_transform(e.embedding, lambda v: v::DOUBLE), c.v), 5), 0.5) AS centroid_sim FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id LEFT JOIN c USING (label)")
+def _(spark, sf):
+    # Documents and vectors have ids in common; what has no vector gets the default.
+    e = _t(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding", F.col("label").alias("cluster_id"))
+    d = _t(spark, sf, "documents").select("doc_id").join(e.select("doc_id", "cluster_id"), "doc_id", "left").withColumn("centroid_sim", F.lit(None).cast("double"))
+    return vectors.repair_similarities(d, "doc_id", e.select("doc_id", "embedding"), "embedding").select("doc_id", F.round("centroid_sim", 5).alias("centroid_sim"))
+
+
 @query("jn9_nearest_centre", "WITH u AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))) AS e FROM embeddings), c AS (SELECT label, list(x ORDER BY i) AS v FROM (SELECT label, i, avg(e) AS x FROM u GROUP BY label, i) GROUP BY label) SELECT vec_id, arg_max(c.label, list_cosine_similarity(list_transform(embedding, lambda v: v::DOUBLE), c.v)) AS cluster FROM embeddings, c GROUP BY vec_id")
 def _(spark, sf):
     e = _t(spark, sf, "embeddings")
@@ -814,6 +822,11 @@ def _(spark, sf):
     return sampling.window_per_group(_responses(spark, sf).select("response_id", "domain"), "domain", ["response_id"], 5, 10)
 
 
+@query("smp3_bounded_scan", f"SELECT response_id, domain FROM (SELECT response_id, domain, row_number() OVER (PARTITION BY domain ORDER BY response_id) AS r FROM (SELECT * FROM {_RESPONSES} ORDER BY response_id LIMIT 300)) WHERE r > 2 AND r <= 12")
+def _(spark, sf):
+    return sampling.window_per_group(_responses(spark, sf).select("response_id", "domain"), "domain", ["response_id"], 2, 10, scan=300)
+
+
 @query("lim1_page", "SELECT rec_no, prompt_id FROM prompts ORDER BY rec_no LIMIT 10 OFFSET 30")
 def _(spark, sf):
     return sampling.page(_t(spark, sf, "prompts").select("rec_no", "prompt_id"), ["rec_no"], 3)

@@ -43,12 +43,6 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint; survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame) -> DataFrame:
     """df written as Parquet to the shared folder and read again: lineage cut, real sizes known to the planner."""
     spark = df.sparkSession
