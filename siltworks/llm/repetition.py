@@ -1,14 +1,15 @@
 """Repetition inside a single document (problem 7).
 
-Gradient-boosted trees estimate the share of repeated content from cheap statistics of a text: a sample of its phrases by
-hash, its words and its sentences (trees.py: flat node arrays, monotonic in the repetition statistics). The estimate is the
-share wherever it is clear. Only texts whose estimate lies within ``band`` of ``least_share``, too near to tell, are measured
-exactly: the share of words (characters in scripts without spaces) that lie in a phrase, sentence or paragraph that occurred
-earlier in the same text. Everything happens row by row in one pass; only ids and shares are shuffled, and no text leaves
-its task.
+The share of a text is measured exactly: the share of words (characters in scripts without spaces) that lie in a phrase,
+sentence or paragraph that occurred earlier in the same text. Gradient-boosted trees estimate it besides from statistics of
+all of a text's phrases, words and sentences (trees.py: flat node arrays, monotonic in the repetition statistics). A caller
+may let the estimate stand where it differs from ``least_share`` by more than ``band``; by default no estimate does, since
+the trees err on a few texts. Everything happens row by row in one pass; only ids and shares are shuffled, and no text
+leaves its task.
 
 The trees are fitted on the driver on a bounded sample (``fit_rows`` texts with the lowest hash of their id, whole texts)
-and on the same texts with passages repeated on purpose, their targets being the exact measure.
+and on the same texts with passages repeated on purpose, their targets being the exact measure. By default no share
+depends on them.
 
 Nulls: a null id or text is left out; a text without words has share 0. Ties and repeated rows: the largest share of a
 field is kept, each id comes once. An empty table gives an empty result.
@@ -32,10 +33,7 @@ PHRASE, PHRASE_CJK = 4, 8
 FEATURES = ("phrases", "sentence", "sentences", "loop", "seen", "log_words", "cjk")
 #: The statistics in which the estimate may only rise.
 RISING = (0, 1, 2, 3)
-#: Of the phrases of longer texts, the share that the statistics look at: those whose hash is a multiple of SAMPLED. Up to
-#: ALL_WORDS words all are looked at.
-SAMPLED, ALL_WORDS = 4, 300
-#: Longest period, in words, of the loops that the statistics look for; longer ones have phrases enough for the sample.
+#: Longest period, in words, of the loops that the statistics look for; longer ones show in the phrases.
 LOOP = 24
 _ENDS = np.zeros(0x110000, bool)
 _ENDS[[ord(c) for c in ".!?;\n。！？；…"]] = True
@@ -118,16 +116,14 @@ def _statistics(w: textvec.Words) -> np.ndarray:
         g[at] = textvec.grams(w.h, PHRASE_CJK)[at]
     size = np.where(wide[: len(g)], PHRASE_CJK, PHRASE)
     end = np.minimum(np.arange(len(g)) + size - 1, total - 1)
-    take = (w.doc[: len(g)] == w.doc[end]) & ((g % np.uint64(SAMPLED) == 0) | (counts[w.doc[: len(g)]] <= ALL_WORDS))
-    at = np.flatnonzero(take)
+    at = np.flatnonzero(w.doc[: len(g)] == w.doc[end])
     again = textvec.repeats(w.doc[at], g[at]) if len(at) else np.zeros(0, bool)
     phrases = np.bincount(w.doc[at[again]], minlength=docs) / np.maximum(np.bincount(w.doc[at], minlength=docs), 1)
     first, n, h = _sentences(w)
     dup = textvec.repeats(w.doc[first], h) & (n >= 2)
     sentence = np.bincount(w.doc[first[dup]], weights=n[dup], minlength=docs) / np.maximum(counts, 1)
     sentences = np.bincount(w.doc[first[dup]], minlength=docs) / np.maximum(np.bincount(w.doc[first], minlength=docs), 1)
-    some = np.flatnonzero(w.h % np.uint64(SAMPLED) == 0)
-    seen = np.bincount(w.doc[some[textvec.repeats(w.doc[some], w.h[some])]], minlength=docs) / np.maximum(np.bincount(w.doc[some], minlength=docs), 1) if len(some) else np.zeros(docs)
+    seen = _shares(w, textvec.repeats(w.doc, w.h))
     loop = np.zeros(docs)
     for lag in range(1, min(LOOP, total - 1) + 1):
         same = np.flatnonzero((w.h[lag:] == w.h[:-lag]) & (w.doc[lag:] == w.doc[:-lag]))
@@ -178,9 +174,9 @@ def decide(forest: trees.Forest, texts: Sequence[str], least_share: float, band:
     return estimate, share
 
 
-def repetition_shares(df: DataFrame, id_col: str, fields: Sequence[str], *, fit_rows: int = 1500, least_share: float = 0.35, band: float = 0.2, seed: int = 42) -> DataFrame:
-    """(id, field, estimate, share) of every non-null text; share is the trees' estimate, and measured where that is within
-    ``band`` of ``least_share``."""
+def repetition_shares(df: DataFrame, id_col: str, fields: Sequence[str], *, fit_rows: int = 1500, least_share: float = 0.35, band: float = 1.0, seed: int = 42) -> DataFrame:
+    """(id, field, estimate, share) of every non-null text; share is measured where the trees' estimate is within ``band`` of
+    ``least_share``, which by default all are, and elsewhere the estimate."""
     fields = list(fields)
     texts = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), *[F.col(f).cast("string").alias(f"t{k}") for k, f in enumerate(fields)])
     sample = lowest_hash_rows(texts, ["id"], [f"t{k}" for k in range(len(fields))], fit_rows, seed)

@@ -205,6 +205,22 @@ def test_repetitive_table(spark):
     assert repetition.repetitive(df.limit(0), "response_id", ("response", "reasoning")).count() == 0
 
 
+def test_every_share_is_measured(spark):
+    """No share is an estimate, and the statistics of a long text count all its phrases and words."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(40):
+        parts = ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(rng.randint(200, 500))]
+        texts.append(" ".join(parts + parts[: rng.randint(0, len(parts))]))
+    got = {r["id"]: r["share"] for r in repetition.repetition_shares(spark.createDataFrame(list(enumerate(texts)), "id long, t string"), "id", ("t",)).collect()}
+    for i, t in enumerate(texts):
+        assert math.isclose(got[i], brute_share(t), abs_tol=1e-9)
+    for t, row in zip(texts, repetition.statistics(texts), strict=True):
+        words = t.split()
+        grams = list(zip(*[words[k:] for k in range(repetition.PHRASE)]))
+        assert math.isclose(row[0], 1 - len(set(grams)) / len(grams)) and math.isclose(row[4], 1 - len(set(words)) / len(words))
+
+
 def test_trees_fit_and_stay_monotonic():
     rng = np.random.default_rng(2)
     x = rng.random((2000, 3))
